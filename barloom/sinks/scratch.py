@@ -1,0 +1,23 @@
+"""Scratch folders on storage that every executor can reach."""
+
+from __future__ import annotations
+
+import functools
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_dir(spark: SparkSession, label: str = "run") -> str:
+    """A fresh path below the cluster's ``spark.checkpoint.dir``.
+
+    Only where the session names none (tests, one machine) a local folder is used.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="barloom-")
