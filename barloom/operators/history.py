@@ -28,30 +28,28 @@ def over_history(
     ``measures`` gets the window (one ``key``, ascending ``order``) and returns the
     new columns. ``(key, order)`` should be unique; ties are ordered by ``value``.
 
-    The rows are shuffled once. A key with few rows is one window group. A hot key is
-    cut into calendar blocks of one ``unit``, and each block is led in by copies of
-    the last ``depth`` rows before it, so every frame holds the same rows in the same
-    order as in one long window.
+    The rows are shuffled once, by ``key``. If a key is too big for a task, the big
+    keys are cut into calendar blocks of one ``unit``, and each block is led in by
+    copies of the last ``depth`` rows before it: every frame then holds the same rows
+    in the same order as in one long window.
     """
-    hot = hot_keys(df, [key], hot_rows)
+    hot = hot_keys({"": df}, [key], hot_rows)
+    if hot is None:
+        return df.withColumns(measures(Window.partitionBy(key).orderBy(order, value)))
+
     block = F.date_trunc(unit, F.col(order))
-    blocked = (
-        mark_hot(df, hot, [key])
-        .withColumns(
-            {_BLOCK: F.when(F.col(PARTS).isNotNull(), block), _LEAD_IN: F.lit(False)}
-        )
-        .drop(PARTS)
+    hot = hot.select(key, PARTS)
+    blocked = mark_hot(df, hot, [key]).withColumns(
+        {_BLOCK: F.when(F.col(PARTS).isNotNull(), block), _LEAD_IN: F.lit(False)}
     )
     slim = mark_hot(df.select(key, order, value), hot, [key], "inner").select(
         key, block.alias(_BLOCK), order, value
     )
-    rows = blocked.unionByName(
+    rows = blocked.drop(PARTS).unionByName(
         _lead_in(slim, depth, key, order, value), allowMissingColumns=True
     )
     window = Window.partitionBy(key, _BLOCK).orderBy(order, value)
-    return (
-        rows.withColumns(measures(window)).where(~F.col(_LEAD_IN)).drop(_BLOCK, _LEAD_IN)
-    )
+    return rows.withColumns(measures(window)).where(~F.col(_LEAD_IN)).drop(_BLOCK, _LEAD_IN)
 
 
 def _lead_in(slim: DataFrame, depth: int, key: str, order: str, value: str) -> DataFrame:

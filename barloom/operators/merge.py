@@ -9,28 +9,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.headers import check_unique
-from barloom.operators.skew import HOT_ROWS, PARTS, hot_keys, mark_hot
+from barloom.operators.skew import HOT_ROWS, PARTS, TABLE, hot_keys, mark_hot
 
 _MAX_CELLS = 8192
-_JOIN = ["_hash", "_key", "_cell"]
+_KEY = ["_hash", "_key"]
+_CELL = "_cell"
 
 
 def suffix_overlaps(
     tables: Mapping[str, DataFrame], keys: Sequence[str]
 ) -> dict[str, DataFrame]:
     """Give non-key columns that occur in several tables the suffix ``_<table name>``."""
-    key_names = {k.lower() for k in keys}
     seen: dict[str, int] = {}
     for df in tables.values():
-        for c in df.columns:
+        for c in _measures(df, keys):
             seen[c.lower()] = seen.get(c.lower(), 0) + 1
     renamed = {
         name: df.withColumnsRenamed(
-            {
-                c: f"{c}_{name}"
-                for c in df.columns
-                if c.lower() not in key_names and seen[c.lower()] > 1
-            }
+            {c: f"{c}_{name}" for c in _measures(df, keys) if seen[c.lower()] > 1}
         )
         for name, df in tables.items()
     }
@@ -54,128 +50,129 @@ def outer_merge(
     keys = list(keys)
     tables = suffix_overlaps(tables, keys)
     columns = [*keys, *(c for df in tables.values() for c in _measures(df, keys))]
-    merge = _merge_unique if unique_keys else _merge_any
-    if null_safe:
-        return merge(tables, keys, hot_rows).select(*columns)
-    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    joined = merge({n: df.where(whole) for n, df in tables.items()}, keys, hot_rows)
-    alone = [df.where(~whole) for df in tables.values()]
-    return _stack([joined, *alone]).select(*columns)
-
-
-def _merge_unique(
-    tables: Mapping[str, DataFrame], keys: list[str], hot_rows: int
-) -> DataFrame:
+    parts = []
+    if not null_safe:
+        whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        parts = [df.where(~whole) for df in tables.values()]
+        tables = {name: df.where(whole) for name, df in tables.items()}
+    if unique_keys:
+        merged = _merge_unique(tables, keys)
+    else:
+        hot = hot_keys(tables, keys, hot_rows)
+        merged = _merge(tables, keys) if hot is None else _merge_hot(tables, keys, hot)
+    return _stack([merged, *parts]).select(*columns)
+
+
+def _merge_unique(tables: Mapping[str, DataFrame], keys: list[str]) -> DataFrame:
     stacked = _stack(list(tables.values()))
-    measures = [c for c in stacked.columns if c not in keys]
+    measures = _measures(stacked, keys)
     return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in measures])
 
 
-def _merge_any(
-    tables: Mapping[str, DataFrame], keys: list[str], hot_rows: int
+def _merge(tables: Mapping[str, DataFrame], keys: list[str]) -> DataFrame:
+    """Left joins from the list of all keys, the spine; each table is shuffled once.
+
+    A chain of full outer joins would shuffle its growing intermediate result at every
+    step, while the spine keeps its partitioning and order through all left joins.
+    """
+    keyed = {n: _with_key(df, keys) for n, df in tables.items()}
+    merged = _stack([df.select(*_KEY) for df in keyed.values()]).distinct()
+    for df in keyed.values():
+        merged = merged.join(df.drop(*keys), _KEY, "left")
+    return merged.select(*_keys_back(keys), *_all_measures(tables, keys))
+
+
+def _merge_hot(
+    tables: Mapping[str, DataFrame], keys: list[str], hot: DataFrame
 ) -> DataFrame:
-    """Left joins from the list of all keys ("spine"), each table shuffled once.
+    """As :func:`_merge`, with the rows of each hot key dealt over a grid of cells.
 
-    A chain of full outer joins would shuffle its growing intermediate result again
-    at every step, and Spark can split neither side of a full outer join that is
-    skewed. The spine keeps its partitioning through all left joins. The rows of a
-    hot key are dealt over a grid of cells, one dimension per table: a row sits at
-    one coordinate of its own dimension and is repeated along the others.
+    The grid has one dimension per table: a row sits at one coordinate of its own
+    dimension and is repeated along the others, so each combination of rows meets in
+    exactly one cell. Keys that are not hot have the single cell 0.
     """
     names = list(tables)
-    hot = _hot_grid(tables, keys, hot_rows)
-    gridded = {n: mark_hot(df, hot, keys) for n, df in tables.items()}
+    grid = _grid(hot, names, keys)
+    keyed = {n: _with_key(mark_hot(df, grid, keys), keys) for n, df in tables.items()}
+    join = [*_KEY, _CELL]
 
-    spine = reduce(
-        DataFrame.unionByName,
+    spine = _stack(
         [
-            _with_key(gridded[n], keys).select(
-                *_JOIN[:2],
-                F.explode(_cells(names)).alias("_cell"),
+            keyed[n].select(
+                *_KEY,
+                F.explode(_cells(names)).alias(_CELL),
                 *[F.lit(n == m).alias(f"_has_{m}") for m in names],
             )
             for n in names
-        ],
-    )
-    merged = spine.groupBy(*_JOIN).agg(
-        *[F.max(f"_has_{n}").alias(f"_has_{n}") for n in names]
+        ]
     )
+    merged = spine.groupBy(*join).agg(*[F.max(f"_has_{n}").alias(f"_has_{n}") for n in names])
     for n in names:
-        merged = merged.join(_dealt(gridded[n], tables[n], n, names, keys), _JOIN, "left")
-    # A key of a table matches in at least one cell; its empty cells are not results.
+        # The input partition is the coordinate: it is the same on a retried task, and
+        # it splits even rows that are copies of each other.
+        at = F.pmod(F.spark_partition_id(), F.coalesce(F.col(f"_parts_{n}"), F.lit(1)))
+        dealt = keyed[n].withColumn("_at", at).select(
+            *_KEY,
+            F.explode(_cells(names, n)).alias(_CELL),
+            *_measures(tables[n], keys),
+            F.lit(True).alias(f"_in_{n}"),
+        )
+        merged = merged.join(dealt, join, "left")
+    # A table that has the key has it in some cells; the other cells are no results.
     for n in names:
         merged = merged.where(F.col(f"_in_{n}").isNotNull() | ~F.col(f"_has_{n}"))
-    return merged.select(
-        *[F.col(f"_key.{k}").alias(k) for k in keys],
-        *[c for n in names for c in _measures(tables[n], keys)],
-    )
+    return merged.select(*_keys_back(keys), *_all_measures(tables, keys))
 
 
-def _hot_grid(
-    tables: Mapping[str, DataFrame], keys: list[str], hot_rows: int
-) -> DataFrame:
-    """Hot keys with the grid size ``_parts_<table>`` per dimension."""
-    names = list(tables)
-    found = [
-        hot_keys(tables[n], keys, hot_rows).select(
-            *keys, *[(F.col(PARTS) if n == m else F.lit(1)).alias(f"_parts_{m}") for m in names]
-        )
-        for n in names
-    ]
-    sized = reduce(DataFrame.unionByName, found).groupBy(*keys).agg(
-        *[F.max(f"_parts_{n}").alias(f"_parts_{n}") for n in names]
-    )
-    # Hot in several tables at once: share the cell budget between the dimensions.
-    dimensions = sum(
-        (F.when(F.col(f"_parts_{n}") > 1, 1).otherwise(0) for n in names), F.lit(0)
-    )
-    side = F.floor(
-        F.pow(F.lit(float(_MAX_CELLS)), F.lit(1.0) / F.greatest(dimensions, F.lit(1)))
-        + F.lit(1e-9)
+def _grid(hot: DataFrame, names: list[str], keys: list[str]) -> DataFrame:
+    """Hot keys with the size ``_parts_<table>`` of their grid in each dimension."""
+    sized = hot.groupBy(*keys).agg(
+        *[
+            F.max(F.when(F.col(TABLE) == n, F.col(PARTS)).otherwise(1)).alias(f"_parts_{n}")
+            for n in names
+        ],
+        F.count("*").alias("_dimensions"),
     )
+    # A key that is hot in several tables shares the cells between the dimensions.
+    side = F.floor(F.pow(F.lit(float(_MAX_CELLS)), 1.0 / F.col("_dimensions")) + 1e-9)
     return sized.select(
         *keys,
-        *[F.least(F.col(f"_parts_{n}"), side).cast("int").alias(f"_parts_{n}") for n in names],
+        *[F.least(f"_parts_{n}", side).cast("int").alias(f"_parts_{n}") for n in names],
     )
 
 
 def _cells(names: list[str], own: str | None = None) -> Column:
-    """Cell numbers of a row: all of its key's grid, or those at ``_at`` along ``own``."""
-    size = reduce(lambda a, b: a * b, [F.col(f"_parts_{n}") for n in names])
-    every = F.sequence(F.lit(0), size - 1)
+    """All cells of a key's grid, or those at coordinate ``_at`` of dimension ``own``."""
+    sizes = {n: F.col(f"_parts_{n}") for n in names}
+    total = _product(list(sizes.values()))
+    cells = F.sequence(F.lit(0), total - 1)
     if own is not None:
-        stride = reduce(
-            lambda a, b: a * b,
-            [F.col(f"_parts_{n}") for n in names[: names.index(own)]],
-            F.lit(1),
-        )
-        width = F.col(f"_parts_{own}")
-        every = F.filter(
-            every, lambda c: F.floor(c / stride).cast("int") % width == F.col("_at")
+        stride = _product([sizes[n] for n in names[: names.index(own)]])
+        cells = F.filter(
+            cells,
+            lambda c: F.floor(c / stride).cast("int") % sizes[own] == F.col("_at"),
         )
-    # ``size`` is NULL for the keys that are not hot.
-    return F.when(size.isNull(), F.array(F.lit(0))).otherwise(every)
+    # The sizes are NULL for keys that are not hot.
+    return F.when(total.isNull(), F.array(F.lit(0))).otherwise(cells)
 
 
-def _dealt(
-    df: DataFrame, table: DataFrame, name: str, names: list[str], keys: list[str]
-) -> DataFrame:
-    # The input partition is the salt: the same on a retried task, and it splits
-    # even rows that are copies of each other.
-    at = F.pmod(F.spark_partition_id(), F.coalesce(F.col(f"_parts_{name}"), F.lit(1)))
-    return _with_key(df.withColumn("_at", at), keys).select(
-        *_JOIN[:2],
-        F.explode(_cells(names, name)).alias("_cell"),
-        *_measures(table, keys),
-        F.lit(True).alias(f"_in_{name}"),
-    )
+def _product(factors: list[Column]) -> Column:
+    return reduce(lambda a, b: a * b, factors, F.lit(1))
 
 
 def _with_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys as one struct, where NULL equals NULL, and its hash, which sorts fast."""
+    """Add the keys as a struct, in which NULL equals NULL, and its hash, which sorts fast."""
     return df.withColumns({"_hash": F.xxhash64(*keys), "_key": F.struct(*keys)})
 
 
+def _keys_back(keys: list[str]) -> list[Column]:
+    return [F.col("_key").getField(k).alias(k) for k in keys]
+
+
+def _all_measures(tables: Mapping[str, DataFrame], keys: list[str]) -> list[str]:
+    return [c for df in tables.values() for c in _measures(df, keys)]
+
+
 def _measures(df: DataFrame, keys: Sequence[str]) -> list[str]:
     names = {k.lower() for k in keys}
     return [c for c in df.columns if c.lower() not in names]

@@ -2,53 +2,86 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.operators.skew import HOT_ROWS
+
+_MAX_SIDE = 64
+_PRESENT = "_present"
+
 
 def percent_ranks(
-    df: DataFrame, group: str, ranks: Mapping[str, str], side: int = 32
+    df: DataFrame, group: str, ranks: Mapping[str, str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Add ``percent_rank`` columns, ``{metric: new column}``, within each ``group``.
 
     Only rows with all metrics present are ranked; the others get NULL. ``group`` must
     have calendar cardinality (years), since a few numbers per group are broadcast.
+    While every group fits a task, plain windows do the work; their size is counted
+    first.
+    """
+    present = reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in ranks])
+    marked = df.withColumn(_PRESENT, present)
+    sizes = marked.groupBy(group, _PRESENT).agg(F.count("*").alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    if largest <= hot_rows:
+        ranked = marked.withColumns(
+            {name: _if_present(_plain_rank(group, m)) for m, name in ranks.items()}
+        )
+    else:
+        side = min(_MAX_SIDE, math.ceil(math.sqrt(largest / max(hot_rows, 1))))
+        ranked = _bucketed_ranks(marked, group, ranks, side)
+    return ranked.select(*df.columns, *ranks.values())
+
+
+def _plain_rank(group: str, metric: str) -> Column:
+    return F.percent_rank().over(Window.partitionBy(group, _PRESENT).orderBy(metric))
 
-    A plain window would put a whole year in one task. Here ``side * side`` quantiles
-    cut each metric into buckets. A bucket between two cuts holds a small share of the
-    group and is ranked by a window; its offset is the number of rows in lower buckets.
-    All rows equal to a cut are a bucket of their own and tie, so they are spread by
-    input partition. The ranks are exact wherever the cuts fall.
+
+def _if_present(rank: Column) -> Column:
+    return F.when(F.col(_PRESENT), rank)
+
+
+def _bucketed_ranks(
+    df: DataFrame, group: str, ranks: Mapping[str, str], side: int
+) -> DataFrame:
+    """Ranks without a group ever being in one task.
+
+    ``side * side`` quantiles cut each metric into buckets. A bucket between two cuts
+    holds a small share of the group and is ranked by a window; its offset is the
+    number of rows in lower buckets. All rows equal to a cut are a bucket of their own
+    and tie, so they are spread by input partition, like the rows without a rank. The
+    ranks are exact wherever the cuts fall.
     """
     metrics = list(ranks)
-    present = reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in metrics])
-
-    cuts = _cuts(df.where(present), group, metrics, side)
-    below = _rows_below(_bucketed(df.where(present), cuts, group, metrics, side),
-                        cuts, group, metrics, side)
-    out = _join_group(_bucketed(df, cuts, group, metrics, side), below, group)
-    out = out.withColumns({"_present": present, "_partition": F.spark_partition_id()})
-    for m in metrics:
+    cuts = _cuts(df.where(_PRESENT), group, metrics, side)
+    cut = _with_buckets(df, cuts, group, metrics, side)
+    below = _rows_below(cut.where(_PRESENT), cuts, group, metrics, side)
+    out = _join_group(cut, below, group).withColumn("_partition", F.spark_partition_id())
+    for m, name in ranks.items():
         bucket = F.col(f"_bucket_{m}")
-        ordered = F.col("_present") & (bucket % 2 == 0)
-        window = Window.partitionBy(group, f"_bucket_{m}", "_present", "_salt").orderBy(m)
+        between = F.col(_PRESENT) & (bucket % 2 == 0)
+        window = Window.partitionBy(group, f"_bucket_{m}", _PRESENT, "_salt").orderBy(m)
         lower = F.element_at(F.col(f"_below_{m}"), bucket + 1).cast("double")
         share = F.try_divide(
             lower + F.rank().over(window) - F.lit(1), F.col("_rows") - F.lit(1)
         )
-        out = out.withColumn("_salt", F.when(~ordered, F.col("_partition"))).withColumn(
-            ranks[m], F.when(F.col("_present"), F.coalesce(share, F.lit(0.0)))
+        out = out.withColumn("_salt", F.when(~between, F.col("_partition"))).withColumn(
+            name, _if_present(F.coalesce(share, F.lit(0.0)))
         )
-    return out.select(*df.columns, *ranks.values())
+    return out
 
 
 def _cuts(df: DataFrame, group: str, metrics: list[str], side: int) -> DataFrame:
     """Per group and metric ``side * side`` sorted quantiles, as rows of ``side``."""
     n = side * side
-    shares = F.array(*[F.lit(i / (n + 1)) for i in range(1, n + 1)])
+    shares = F.lit(np.arange(1, n + 1) / (n + 1))
     flat = df.groupBy(group).agg(
         *[F.percentile_approx(m, shares, 10_000).alias(f"_cuts_{m}") for m in metrics]
     )
@@ -60,7 +93,7 @@ def _in_rows(cuts: str, side: int) -> Column:
     return F.transform(starts, lambda at: F.slice(F.col(cuts), at, side)).alias(cuts)
 
 
-def _bucketed(
+def _with_buckets(
     df: DataFrame, cuts: DataFrame, group: str, metrics: list[str], side: int
 ) -> DataFrame:
     return _join_group(df, cuts, group).withColumns(
@@ -79,22 +112,21 @@ def _bucket(value: Column, cuts: Column, side: int) -> Column:
 
 
 def _rows_below(
-    bucketed: DataFrame, cuts: DataFrame, group: str, metrics: list[str], side: int
+    df: DataFrame, cuts: DataFrame, group: str, metrics: list[str], side: int
 ) -> DataFrame:
     """Per group its row count and, per metric, the rows below bucket 0, 1, ... as array."""
     entries = [
         F.struct(F.lit(m).alias("_metric"), F.col(f"_bucket_{m}").alias("_bucket"))
         for m in metrics
     ]
-    filled = bucketed.select(group, F.inline(F.array(*entries))).groupBy(
-        group, "_metric", "_bucket"
-    ).agg(F.count("*").alias("_n"))
-    empty = cuts.select(group, F.explode(F.array(*[F.lit(m) for m in metrics])).alias("_metric"))
-    empty = empty.select(
+    filled = df.select(group, F.inline(F.array(*entries)), F.lit(1).alias("_n"))
+    empty = cuts.select(
+        group, F.explode(F.array(*[F.lit(m) for m in metrics])).alias("_metric")
+    ).select(
         group,
         "_metric",
         F.explode(F.sequence(F.lit(0), F.lit(2 * side * side))).alias("_bucket"),
-        F.lit(0).cast("long").alias("_n"),
+        F.lit(0).alias("_n"),
     )
     sizes = filled.unionByName(empty).groupBy(group, "_metric", "_bucket").agg(
         F.sum("_n").alias("_n")

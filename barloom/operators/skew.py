@@ -1,53 +1,70 @@
 """Finding the few keys that are too big for one task.
 
 A key is hot when it has more than ``hot_rows`` rows *and* more than ``SHARE`` of
-all rows. At most ``1 / SHARE`` keys can be hot, whatever the data, so the result
-may be broadcast. Which keys are found only changes how work is spread, never the
-result of the operators that use it.
+its table, about what an average task of a large shuffle holds. At most
+``1 / SHARE`` keys of a table can be hot, whatever the data, so they fit on the
+driver and in a broadcast. They are counted by a small job when an operator is
+built: usually none is found, and the operator needs no provision for skew at all.
+Which keys are found only changes how work is spread, never a result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
 SHARE = 1e-4
 _CLASSES = 65_536
 
+TABLE = "_table"
 PARTS = "_parts"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The hot keys of ``df`` with ``_parts``, the number of tasks each one is worth.
+def hot_keys(
+    tables: Mapping[str, DataFrame], keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame | None:
+    """The hot keys as ``(_table, *keys, _parts)``, or None if there is none.
 
-    Counting every key would shuffle all of them when most are unique. So rows are
-    first counted per hash class (map-side, at most 65,536 counters), and exact
-    keys are counted only inside the classes that are big enough to hide a hot key.
+    ``_parts`` is the number of tasks a key is worth. Counting every key would shuffle
+    all of them when most are unique. So rows are first counted per hash class
+    (map-side, at most 65,536 counters per table), and exact keys are counted only
+    inside the classes that are big enough to hide a hot key. What is collected are
+    at most ``1 / SHARE`` rows per table, or 65,536 where ``hot_rows`` is tiny.
     """
-    slim = df.select(*keys).withColumn("_class", _hash_class(keys))
-    classes = (
-        slim.groupBy("_class")
-        .agg(F.count("*").alias("_n"))
-        .agg(
-            F.greatest(F.lit(hot_rows), F.sum("_n") * F.lit(SHARE)).alias("_limit"),
-            F.collect_list(
-                F.when(F.col("_n") > hot_rows, F.struct("_class", "_n"))
-            ).alias("_big"),
-        )
-        .select("_limit", F.inline("_big"))
-        .where("_n > _limit")
-        .select("_class", "_limit")
+    keys = list(keys)
+    number = F.pmod(F.xxhash64(*keys), F.lit(_CLASSES)).cast("int")
+    slim = reduce(
+        DataFrame.unionByName,
+        [
+            df.select(F.lit(name).alias(TABLE), number.alias("_class"), *keys)
+            for name, df in tables.items()
+        ],
     )
-    return (
-        slim.join(F.broadcast(classes), "_class")
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.max("_limit").alias("_limit"))
+    big = _counted(slim, [TABLE, "_class"]).where(F.col("_n") > hot_rows).collect()
+    if not big:
+        return None
+    limits = {
+        row[TABLE]: float(max(hot_rows, row["_n"] * SHARE)) for row in _counted(slim, [TABLE]).collect()
+    }
+    classes = [(row[TABLE], row["_class"]) for row in big if row["_n"] > limits[row[TABLE]]]
+    if not classes:
+        return None
+    spark = slim.sparkSession
+    inside = spark.createDataFrame(classes, f"{TABLE} string, _class int")
+    limit = spark.createDataFrame(list(limits.items()), f"{TABLE} string, _limit double")
+    hot = (
+        _counted(slim.join(F.broadcast(inside), [TABLE, "_class"]), [TABLE, *keys])
+        .join(F.broadcast(limit), TABLE)
         .where("_n > _limit")
-        .select(*keys, F.ceil(F.col("_n") / F.col("_limit")).cast("int").alias(PARTS))
+        .select(TABLE, *keys, F.ceil(F.col("_n") / F.col("_limit")).cast("int").alias(PARTS))
     )
+    rows = hot.collect()
+    return spark.createDataFrame(rows, _nullable(hot.schema)) if rows else None
 
 
 def mark_hot(
@@ -60,5 +77,9 @@ def mark_hot(
     return df.join(small, match, how).drop(*names.values())
 
 
-def _hash_class(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(_CLASSES)).cast("int")
+def _counted(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count("*").alias("_n"))
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])

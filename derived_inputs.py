@@ -66,8 +66,8 @@ from {customer}
 }
 _TABLES = ("orders", "lineitem", "part", "customer")
 
-_landed: dict[tuple[str, str, str], str] = {}
-_lock = threading.Lock()
+_landed: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
+_lock = threading.RLock()
 
 
 def oracle_input(name: str) -> str:
@@ -86,18 +86,17 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Table ``name`` of the raw layer; ``merged`` is the merge of the statements."""
     with _lock:
         key = (spark.sparkContext.applicationId, str(sf_dir), name)
-        path = _landed.get(key)
-        if path is None or not _exists(spark, path):
+        if key not in _landed or not _exists(spark, _landed[key][0]):
             path = scratch_dir(spark, f"raw-{name}")
             _land(spark, sf_dir, name).write.parquet(path)
-            _landed[key] = path
-    return spark.read.parquet(path)
+            _landed[key] = (path, spark.read.parquet(path))
+        return _landed[key][1]
 
 
 def _land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name != "merged":
         return derive(spark, sf_dir, name)
-    return merge_statements(*[derive(spark, sf_dir, t) for t in ("income", "balance", "cashflow")])
+    return merge_statements(*[landed(spark, sf_dir, t) for t in ("income", "balance", "cashflow")])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
