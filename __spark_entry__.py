@@ -131,11 +131,12 @@ def _csv_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "delivery")
     for name, df in zip(STATEMENTS, _statements(spark, sf_dir)):
         _deliver(df, root, name, files.VARIANT_STATEMENTS)
-    return barloom.merge_statements(
-        files.read_income(spark, root, date_format=DELIVERED_DATES),
-        files.read_balance(spark, root, date_format=DELIVERED_DATES),
-        files.read_cashflow(spark, root, date_format=DELIVERED_DATES),
-    )
+    delivered = {
+        name: files.read_statement(spark, root, name, date_format=DELIVERED_DATES)
+        for name in STATEMENTS
+    }
+    staged = barloom.plans.pipeline.stage(spark, scratch_dir(spark, "lake"), delivered)
+    return barloom.merge_statements(**staged)
 
 
 def _sanitized_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:

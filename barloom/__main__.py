@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import argparse
 
+from barloom import schemas
 from barloom.plans import pipeline
 from barloom.session import get_session
 from barloom.sinks.catalog import KEYS_AS_STRINGS, KEYS_TYPED
 from barloom.sources import files
-from barloom import schemas
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -22,6 +22,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     whole = steps.add_parser("pipeline", help="extract, transform and load")
     whole.add_argument("--source", required=True, help="folder with the delivered CSV files")
     whole.add_argument("--market", default=files.MARKET)
+    whole.add_argument("--date-format", default=files.DATE_FORMAT)
 
     for step in (transform, load, whole):
         step.add_argument("--lake", required=True, help="root URI of the data lake")
@@ -44,19 +45,19 @@ def main(argv: list[str] | None = None) -> None:
         if getattr(args, "companies", None):
             companies = files.read_csv(spark, args.companies, schemas.COMPANIES)
         if args.step == "pipeline":
-            given = {"root": args.source, "market": args.market}
-            pipeline.extract(
-                args.lake,
-                files.read_income(spark, **given),
-                files.read_balance(spark, **given),
-                files.read_cashflow(spark, **given),
-                files.read_prices(spark, **given),
-            )
-        if args.step == "transform":
-            pipeline.run_transform(spark, args.lake, args.mode, companies)
-        if args.step == "pipeline":
-            pipeline.run_transform(spark, args.lake, pipeline.FUNDAMENTALS, companies)
-            pipeline.run_transform(spark, args.lake, pipeline.PRICES)
+            given = {
+                "root": args.source, "market": args.market, "date_format": args.date_format,
+            }
+            statements = {
+                name: files.read_statement(spark, table=name, **given)
+                for name in schemas.STATEMENTS
+            }
+            statements = pipeline.stage(spark, args.lake, statements)
+            prices = files.read_prices(spark, **given)
+            pipeline.extract(args.lake, **statements, prices=prices)
+        modes = {"transform": [getattr(args, "mode", None)], "pipeline": pipeline.PARTITION_KEYS}
+        for mode in modes.get(args.step, []):
+            pipeline.run_transform(spark, args.lake, mode, companies)
         if args.step in ("load", "pipeline"):
             loaded = pipeline.load(
                 spark, args.lake, args.database, args.location, args.key_typing

@@ -8,19 +8,22 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.operators.skew import HOT_ROWS, PARTS, hot_keys, mark_hot
+from barloom.scratch import scratch_dir
 
 _BLOCK = "_block"
+_TIE = "_tie"
 _LEAD_IN = "_lead_in"
 
+Measures = Callable[[WindowSpec], dict[str, Column]]
+
 
 def over_history(
     df: DataFrame,
-    measures: Callable[[WindowSpec], dict[str, Column]],
+    measures: Measures,
     depth: int,
     key: str = "Ticker",
     order: str = "Date",
     value: str = "Close",
-    unit: str = "year",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add window ``measures`` that read ``value`` at most ``depth`` rows back.
@@ -28,38 +31,60 @@ def over_history(
     ``measures`` gets the window (one ``key``, ascending ``order``) and returns the
     new columns. ``(key, order)`` should be unique; ties are ordered by ``value``.
 
-    The rows are shuffled once, by ``key``. If a key is too big for a task, the big
-    keys are cut into calendar blocks of one ``unit``, and each block is led in by
-    copies of the last ``depth`` rows before it: every frame then holds the same rows
-    in the same order as in one long window.
+    The rows are shuffled once, by ``key``. Only keys that are too big for a task,
+    which are looked for first, take another way: :func:`_over_blocks`.
     """
     hot = hot_keys({"": df}, [key], hot_rows)
+    window = Window.partitionBy(key).orderBy(order, value)
     if hot is None:
-        return df.withColumns(measures(Window.partitionBy(key).orderBy(order, value)))
-
-    block = F.date_trunc(unit, F.col(order))
-    hot = hot.select(key, PARTS)
-    blocked = mark_hot(df, hot, [key]).withColumns(
-        {_BLOCK: F.when(F.col(PARTS).isNotNull(), block), _LEAD_IN: F.lit(False)}
+        return df.withColumns(measures(window))
+    big = hot.select(key)
+    others = mark_hot(df, big, [key], "left_anti").withColumns(measures(window))
+    histories = mark_hot(df, big, [key], "left_semi")
+    blocks = sum(row[PARTS] for row in hot.collect())
+    return others.unionByName(
+        _over_blocks(histories, measures, depth, blocks, key, order, value)
     )
-    slim = mark_hot(df.select(key, order, value), hot, [key], "inner").select(
-        key, block.alias(_BLOCK), order, value
+
+
+def _over_blocks(
+    df: DataFrame, measures: Measures, depth: int, blocks: int, key: str, order: str, value: str
+) -> DataFrame:
+    """Windows over histories that are cut into ordered blocks of about equal size.
+
+    Each block is led in by copies of the last ``depth`` rows before it, so every frame
+    holds the same values in the same order as in one long window. The blocks are
+    ranges of the sort order and are written down, because the lead-ins and the rows
+    themselves must see the same cuts. The input partition, which a retried task does
+    not change, breaks ties: it lets the cuts fall between rows with the same key,
+    order and value, and such rows are alike to the measures.
+    """
+    sort = [order, value, _TIE]
+    ranged = (
+        df.withColumn(_TIE, F.spark_partition_id())
+        .repartitionByRange(blocks, key, *sort)
+        .withColumn(_BLOCK, F.spark_partition_id())
     )
-    rows = blocked.drop(PARTS).unionByName(
-        _lead_in(slim, depth, key, order, value), allowMissingColumns=True
+    path = scratch_dir(df.sparkSession, "history")
+    ranged.write.parquet(path)
+    cut = df.sparkSession.read.parquet(path)
+
+    rows = cut.withColumn(_LEAD_IN, F.lit(False)).unionByName(
+        _lead_in(cut, depth, key, sort), allowMissingColumns=True
     )
-    window = Window.partitionBy(key, _BLOCK).orderBy(order, value)
-    return rows.withColumns(measures(window)).where(~F.col(_LEAD_IN)).drop(_BLOCK, _LEAD_IN)
+    windows = rows.withColumns(measures(Window.partitionBy(key, _BLOCK).orderBy(*sort)))
+    return windows.where(~F.col(_LEAD_IN)).drop(_BLOCK, _TIE, _LEAD_IN)
 
 
-def _lead_in(slim: DataFrame, depth: int, key: str, order: str, value: str) -> DataFrame:
+def _lead_in(cut: DataFrame, depth: int, key: str, sort: list[str]) -> DataFrame:
     """For every block the last ``depth`` rows of the blocks before it."""
-    newest = Window.partitionBy(key, _BLOCK).orderBy(F.desc(order), F.desc(value))
+    newest = Window.partitionBy(key, _BLOCK).orderBy(*[F.desc(c) for c in sort])
     ends = (
-        slim.withColumn("_back", F.row_number().over(newest))
+        cut.select(key, _BLOCK, *sort)
+        .withColumn("_back", F.row_number().over(newest))
         .where(F.col("_back") <= depth)
         .groupBy(key, _BLOCK)
-        .agg(F.sort_array(F.collect_list(F.struct(order, value))).alias("_end"))
+        .agg(F.sort_array(F.collect_list(F.struct(*sort))).alias("_end"))
     )
     # One row per block, each with at most ``depth`` entries; a block is never empty,
     # so ``depth`` blocks back are far enough.

@@ -6,6 +6,7 @@ lost executor never reaches further back than the last table written.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,18 @@ class Loaded:
     quality: DataFrame
 
 
+def stage(spark: SparkSession, lake: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Land delivered tables as Parquet under ``raw`` and read them back.
+
+    The merge looks at its inputs more than once (skew, keys, rows), mostly at the
+    keys only. Staging makes that a column scan; text would be parsed each time.
+    """
+    return {
+        name: files.read_parquet(spark, lake_sink.write_raw(df, lake, name))
+        for name, df in tables.items()
+    }
+
+
 def extract(
     lake: str,
     income: DataFrame,

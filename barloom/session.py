@@ -17,7 +17,10 @@ def get_session(app: str = "barloom", **settings: str) -> SparkSession:
     """The running session, or a new one with the defaults that nobody has set."""
     spark = SparkSession.builder.appName(app).getOrCreate()
     given = dict(spark.sparkContext.getConf().getAll())
-    for name, value in _DEFAULTS.items():
+    # Shuffles start wide enough for every core; adaptive execution joins what is small.
+    wide = str(max(200, 4 * spark.sparkContext.defaultParallelism))
+    defaults = {**_DEFAULTS, "spark.sql.adaptive.coalescePartitions.initialPartitionNum": wide}
+    for name, value in defaults.items():
         if name not in given:
             spark.conf.set(name, value)
     for name, value in settings.items():

@@ -15,7 +15,7 @@ from barloom.sinks.lake import (
     write_partitioned,
     write_raw,
 )
-from barloom.sinks.scratch import scratch_dir
+from barloom.scratch import scratch_dir
 
 __all__ = [
     "create_database",

@@ -151,7 +151,8 @@ union all select 'Unique tickers in fundamentals', count(distinct Ticker) from s
 union all select 'Unique tickers in prices', count(distinct Ticker) from stock_prices
 """
 _REJECTED = """
-union all select 'Rejected price dates', cast(0 as bigint)
+union all select 'Rejected price dates', count(*) from windows
+where Date is not null and try_cast(cast(Date as varchar) as date) is null
 """
 
 

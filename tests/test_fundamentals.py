@@ -1,9 +1,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 import barloom
 from barloom import schemas
+from barloom.operators import attach_company
 from tests.helpers import plan, same
 
 RAW = (
@@ -81,3 +83,29 @@ def test_company_lookup(spark):
     names = sorted((r.Ticker, r.Company_Name or "") for r in out.collect())
     assert ("plain", "Plain Inc") in names and ("negative", "") in names
     assert [n for t, n in names if t == "zero"] == ["Zero A", "Zero B"]
+
+
+def test_a_hot_ticker_is_split_by_the_lookup_join(spark):
+    """Beyond the broadcast threshold the join is split where one ticker dominates."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    ids = spark.range(60_000, numPartitions=8)
+    hot = F.when(F.col("id") % 3 == 0, F.lit("T1")).otherwise(F.concat(F.lit("T"), "id"))
+    facts = ids.select(hot.alias("Ticker"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    companies = ids.selectExpr("concat('T', id) as Ticker", "'n' as Company_Name")
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        named = attach_company(facts, companies)
+        assert named.count() == 60_000
+        named = attach_company(facts, companies)
+        named.write.format("noop").mode("overwrite").save()
+        named.collect()
+        assert "isSkew=true" in named._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)

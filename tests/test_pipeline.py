@@ -1,0 +1,121 @@
+import datetime as dt
+import os
+import subprocess
+import sys
+
+import pytest
+
+import barloom
+from barloom import schemas
+from barloom.plans import pipeline
+from barloom.sinks import lake
+from tests.helpers import plan, rows
+
+DAY = dt.date(2023, 12, 31)
+
+
+def _inputs(spark):
+    income = spark.createDataFrame(
+        [("A", DAY, 3e9, 1e9, 2e9), ("B", DAY, None, 1.0, 1.0), ("N", None, 5.0, 1.0, 1.0)],
+        schemas.INCOME,
+    )
+    balance = spark.createDataFrame(
+        [("A", DAY, 1e9, None, 4e9, 2e9, 2e9, 8e9), ("C", DAY, *[1.0] * 6)], schemas.BALANCE
+    )
+    cashflow = spark.createDataFrame([("A", DAY, 7.0)], schemas.CASHFLOW)
+    prices = spark.createDataFrame(
+        [
+            ("A", dt.date(2024, 1, d), 1.0, 2.0, 0.5, float(c), 1.0, 1_000_000)
+            for d, c in ((2, 10), (3, 0), (4, 12), (5, 15))
+        ],
+        schemas.PRICES,
+    )
+    return income, balance, cashflow, prices
+
+
+def test_whole_pipeline(spark, tmp_path):
+    companies = spark.createDataFrame([("A", "Alpha")], schemas.COMPANIES)
+    for _ in range(2):  # a second run replaces the first
+        loaded = barloom.run_pipeline(
+            spark, str(tmp_path / "lake"), "p1", *_inputs(spark), companies=companies,
+            location=str(tmp_path / "db"),
+        )
+    assert dict(rows(loaded.quality)) == {
+        "Fundamentals row count": 2,
+        "Prices row count": 3,
+        "Unique tickers in fundamentals": 2,
+        "Unique tickers in prices": 1,
+        "Rejected price dates": 0,
+    }
+    assert loaded.views == ("p1.annual_company_metrics", "p1.monthly_price_stats", "p1.top_performers")
+    top = spark.sql("SELECT * FROM p1.top_performers LIMIT 10").collect()
+    assert [(r.Ticker, r.Company_Name, r.Year, round(r.Profit_Margin, 6)) for r in top] == [
+        ("A", "Alpha", 2023, 33.333333)
+    ]
+    assert (round(top[0].ROE, 6), round(top[0].ROA, 6)) == (50.0, 12.5)
+    annual = spark.sql("SELECT * FROM p1.annual_company_metrics WHERE Year >= 2020").collect()
+    assert [(r.Ticker, r.Avg_Current_Ratio, r.Avg_Debt_to_Equity) for r in annual] == [("A", 2.0, 0.5)]
+    monthly = spark.sql("SELECT * FROM p1.monthly_price_stats WHERE Year = 2024").collect()
+    assert [(r.Month, r.Trading_Days, r.Total_Volume_Millions) for r in monthly] == [(1, 3, 3.0)]
+    # 2024-01-04 follows a zero close, so its return is NULL, and 15/12 - 1 remains.
+    assert abs(monthly[0].Avg_Daily_Return - 0.25) < 1e-9
+
+    fundamentals = spark.table(loaded.fundamentals)
+    assert fundamentals.select(*schemas.STOCK_FUNDAMENTALS.fieldNames()).dtypes == [
+        (f.name, f.dataType.simpleString()) for f in schemas.STOCK_FUNDAMENTALS.fields
+    ]
+    assert {r.Year for r in fundamentals.collect()} == {2023, None}
+    text = plan(barloom.top_performers(fundamentals))
+    assert "PartitionFilters: [isnotnull(Year" in text and "Subquery" in text
+
+
+def test_modes_run_alone(spark, tmp_path):
+    root = str(tmp_path)
+    pipeline.extract(root, *_inputs(spark))
+    path = barloom.run_transform(spark, root, "prices")
+    assert path == lake.transformed_path(root, "prices")
+    assert {"SMA_20", "Daily_Return"} <= set(spark.read.parquet(path).columns)
+    barloom.run_transform(spark, root, "fundamentals")
+    assert spark.read.parquet(lake.transformed_path(root, "fundamentals")).count() == 4
+    with pytest.raises(ValueError, match="unknown mode"):
+        barloom.run_transform(spark, root, "weather")
+
+
+def test_load_with_typed_keys(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    pipeline.extract(root, *_inputs(spark))
+    for mode in pipeline.PARTITION_KEYS:
+        barloom.run_transform(spark, root, mode)
+    loaded = barloom.load(spark, root, "p2", str(tmp_path / "db"), key_typing="AUTO")
+    assert spark.table(loaded.fundamentals).count() == 2
+    assert dict(spark.table("p2.stock_prices_external").dtypes)["Month"] == "bigint"
+
+
+def test_command_line(spark, tmp_path):
+    source = tmp_path / "source"
+    source.mkdir()
+    texts = {
+        "us-income-annual.csv": "Ticker;Report Date;Revenue;Net Income\nA;31/12/2023;10;1\n",
+        "us-balance-annual.csv": "Ticker;Report Date;Short Term Debt\nA;31/12/2023;3\n",
+        "us-cashflow-annual.csv": "Ticker;Report Date\nB;31/12/2023\n",
+        "us-shareprices-daily.csv": "Ticker;Date;Close\nA;02/01/2024;10\nA;03/01/2024;12\n",
+    }
+    for name, text in texts.items():
+        (source / name).write_text(text)
+    (tmp_path / "companies.csv").write_text("Ticker;Company Name\nA;Alpha\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run(
+        [
+            sys.executable, "-m", "barloom", "pipeline", "--source", str(source),
+            "--lake", str(tmp_path / "lake"), "--database", "cli", "--date-format", "dd/MM/yyyy",
+            "--location", str(tmp_path / "db"), "--companies", str(tmp_path / "companies.csv"),
+        ],
+        cwd=root, capture_output=True, text=True, timeout=240,
+    )
+    assert run.returncode == 0, run.stderr[-2000:]
+    assert "Unique tickers in prices" in run.stdout
+    saved = spark.read.parquet(str(tmp_path / "db" / "stock_fundamentals"))
+    assert [(r.Ticker, r.Company_Name, r.Profit_Margin, r.Year) for r in saved.collect()] == [
+        ("A", "Alpha", 10.0, 2023)
+    ]
+    assert spark.read.parquet(str(tmp_path / "db" / "stock_prices")).count() == 2

@@ -86,18 +86,41 @@ def test_text_dates_and_rejects(spark):
     assert rows(barloom.rejected_dates(df)) == [("Rejected price dates", 1)]
 
 
+def _both_measures(df, n, **options):
+    """Moving average and return, each from its own pass, joined on the unique dates."""
+    average = barloom.moving_average(df, n, **options)
+    returns = barloom.daily_return(df, **options).withColumnsRenamed({"Ticker": "t", "Date": "d"})
+    match = F.col("Ticker").eqNullSafe(F.col("t")) & F.col("Date").eqNullSafe(F.col("d"))
+    return average.join(returns.drop("Close"), match).drop("t", "d")
+
+
 @pytest.mark.parametrize("n", [1, 2, 20])
-@pytest.mark.parametrize("unit", ["year", "month"])
-def test_split_history_equals_one_window(spark, n, unit):
-    """Hot tickers, also the NULL ticker, cut into blocks give the very same numbers."""
+@pytest.mark.parametrize("hot_rows", [10, 100])
+def test_split_history_equals_one_window(spark, n, hot_rows):
+    """Hot tickers, also the NULL ticker, cut into blocks give the very same numbers.
+
+    Blocks of about ten rows are shorter than the frame, which then spans several.
+    """
     df = _random_prices(spark)
-    options = {"unit": unit, "hot_rows": 100}
-    split = barloom.moving_average(df, n, **options).join(
-        barloom.daily_return(df, **options).withColumnsRenamed({"Ticker": "t", "Date": "d"})
-        .drop("Close"),
-        F.col("Ticker").eqNullSafe(F.col("t")) & F.col("Date").eqNullSafe(F.col("d")),
-    ).drop("t", "d")
-    assert rows(split) == rows(_one_window(df, n))
+    assert rows(_both_measures(df, n, hot_rows=hot_rows)) == rows(_one_window(df, n))
+
+
+def test_copies_of_a_row_are_split(spark):
+    """A third of all rows are copies; others share the date or have no key at all."""
+    day = dt.date(2020, 3, 2)
+    data = [("A", day, 4.0)] * 700 + [("A", day, float(i)) for i in range(300)]
+    data += [(None, None, None)] * 400 + [("B", day + dt.timedelta(days=i), 2.0) for i in range(90)]
+    df = spark.createDataFrame(data, PRICE).repartition(16)
+    split = barloom.moving_average(df, 5, hot_rows=100)
+    w = Window.partitionBy("Ticker").orderBy("Date", "Close").rowsBetween(-4, 0)
+    assert rows(split) == rows(df.withColumn("SMA_5", F.avg("Close").over(w)))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = split.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert max(r["count"] for r in sizes) < 600
 
 
 def test_split_enrichment_keeps_every_row_once(spark):
@@ -128,7 +151,7 @@ def test_ticker_filter_passes_below_the_window(spark, tmp_path):
     enriched = barloom.moving_average(spark.read.parquet(path))
     text = plan(enriched.where("Ticker = 'A' and Close > 0"))
     assert "PushedFilters: [IsNotNull(Ticker), EqualTo(Ticker,A)]" in text
-    assert "Close" not in text.split("PushedFilters")[1].splitlines()[0]
+    assert "GreaterThan(Close" not in text
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
