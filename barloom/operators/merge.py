@@ -12,6 +12,8 @@ from barloom.functions.headers import check_unique
 from barloom.operators.skew import HOT_ROWS, PARTS, TABLE, hot_keys, mark_hot
 
 _MAX_CELLS = 8192
+# Measured: below this many columns the chain of joins is faster.
+_WIDE = 32
 _KEY = ["_hash", "_key"]
 _CELL = "_cell"
 
@@ -59,7 +61,11 @@ def outer_merge(
         merged = _merge_unique(tables, keys)
     else:
         hot = hot_keys(tables, keys, hot_rows)
-        merged = _merge(tables, keys) if hot is None else _merge_hot(tables, keys, hot)
+        if hot is not None:
+            few = hot.select(*keys).distinct()
+            parts.append(_merge_hot(tables, keys, hot))
+            tables = {n: mark_hot(df, few, keys, "left_anti") for n, df in tables.items()}
+        merged = _merge(tables, keys)
     return _stack([merged, *parts]).select(*columns)
 
 
@@ -70,30 +76,39 @@ def _merge_unique(tables: Mapping[str, DataFrame], keys: list[str]) -> DataFrame
 
 
 def _merge(tables: Mapping[str, DataFrame], keys: list[str]) -> DataFrame:
-    """Left joins from the list of all keys, the spine; each table is shuffled once.
+    """Full outer joins one after the other, or left joins from the list of all keys.
 
-    A chain of full outer joins would shuffle its growing intermediate result at every
-    step, while the spine keeps its partitioning and order through all left joins.
+    A chain of full outer joins shuffles and sorts its growing intermediate result
+    again at every further step. The list of keys keeps its partitioning and order
+    through all left joins, so each table moves once, at the price of moving the keys
+    too: that pays once the intermediate rows are wide.
     """
-    keyed = {n: _with_key(df, keys) for n, df in tables.items()}
-    merged = _stack([df.select(*_KEY) for df in keyed.values()]).distinct()
-    for df in keyed.values():
-        merged = merged.join(df.drop(*keys), _KEY, "left")
+    keyed = [_with_key(df, keys) for df in tables.values()]
+    rows = [df.drop(*keys) for df in keyed]
+    carried = sum(len(_measures(df, keys)) for df in list(tables.values())[:-1])
+    if len(rows) > 2 and carried >= _WIDE:
+        spine = _stack([df.select(*_KEY) for df in keyed]).distinct()
+        merged = reduce(lambda a, b: a.join(b, _KEY, "left"), rows, spine)
+    else:
+        merged = reduce(lambda a, b: a.join(b, _KEY, "full_outer"), rows)
     return merged.select(*_keys_back(keys), *_all_measures(tables, keys))
 
 
 def _merge_hot(
     tables: Mapping[str, DataFrame], keys: list[str], hot: DataFrame
 ) -> DataFrame:
-    """As :func:`_merge`, with the rows of each hot key dealt over a grid of cells.
+    """Merge the rows of hot keys, each key's rows dealt over a grid of cells.
 
     The grid has one dimension per table: a row sits at one coordinate of its own
     dimension and is repeated along the others, so each combination of rows meets in
-    exactly one cell. Keys that are not hot have the single cell 0.
+    exactly one cell. The cells are left-joined like the list of keys above, since
+    Spark can split neither side of a skewed full outer join.
     """
     names = list(tables)
     grid = _grid(hot, names, keys)
-    keyed = {n: _with_key(mark_hot(df, grid, keys), keys) for n, df in tables.items()}
+    keyed = {
+        n: _with_key(mark_hot(df, grid, keys, "inner"), keys) for n, df in tables.items()
+    }
     join = [*_KEY, _CELL]
 
     spine = _stack(
@@ -110,7 +125,7 @@ def _merge_hot(
     for n in names:
         # The input partition is the coordinate: it is the same on a retried task, and
         # it splits even rows that are copies of each other.
-        at = F.pmod(F.spark_partition_id(), F.coalesce(F.col(f"_parts_{n}"), F.lit(1)))
+        at = F.pmod(F.spark_partition_id(), F.col(f"_parts_{n}"))
         dealt = keyed[n].withColumn("_at", at).select(
             *_KEY,
             F.explode(_cells(names, n)).alias(_CELL),
@@ -152,8 +167,7 @@ def _cells(names: list[str], own: str | None = None) -> Column:
             cells,
             lambda c: F.floor(c / stride).cast("int") % sizes[own] == F.col("_at"),
         )
-    # The sizes are NULL for keys that are not hot.
-    return F.when(total.isNull(), F.array(F.lit(0))).otherwise(cells)
+    return cells
 
 
 def _product(factors: list[Column]) -> Column:

@@ -63,15 +63,21 @@ def _bucketed_ranks(
     cuts = _cuts(df.where(_PRESENT), group, metrics, side)
     cut = _with_buckets(df, cuts, group, metrics, side)
     below = _rows_below(cut.where(_PRESENT), cuts, group, metrics, side)
-    out = _join_group(cut, below, group).withColumn("_partition", F.spark_partition_id())
+    # Only numbers, not the arrays they come from, travel through the shuffles.
+    lower = {
+        f"_lower_{m}": F.element_at(F.col(f"_below_{m}"), F.col(f"_bucket_{m}") + 1)
+        for m in metrics
+    }
+    out = (
+        _join_group(cut, below, group)
+        .withColumns({**lower, "_partition": F.spark_partition_id()})
+        .drop(*[f"_below_{m}" for m in metrics])
+    )
     for m, name in ranks.items():
-        bucket = F.col(f"_bucket_{m}")
-        between = F.col(_PRESENT) & (bucket % 2 == 0)
+        between = F.col(_PRESENT) & (F.col(f"_bucket_{m}") % 2 == 0)
         window = Window.partitionBy(group, f"_bucket_{m}", _PRESENT, "_salt").orderBy(m)
-        lower = F.element_at(F.col(f"_below_{m}"), bucket + 1).cast("double")
-        share = F.try_divide(
-            lower + F.rank().over(window) - F.lit(1), F.col("_rows") - F.lit(1)
-        )
+        before = F.col(f"_lower_{m}") + F.rank().over(window) - F.lit(1)
+        share = F.try_divide(before.cast("double"), F.col("_rows") - F.lit(1))
         out = out.withColumn("_salt", F.when(~between, F.col("_partition"))).withColumn(
             name, _if_present(F.coalesce(share, F.lit(0.0)))
         )

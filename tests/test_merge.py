@@ -140,21 +140,49 @@ def test_only_overlapping_names_get_a_suffix(spark):
     assert rows(merged) == [("A", day, "USD", 1, "EUR", 1, 9)]
 
 
-def test_each_table_is_shuffled_once(spark, tmp_path):
-    tables = {}
-    for name, df in _random_tables(spark, 1).items():
+def _wide(tables, width=20):
+    """The same tables with many more columns each."""
+    return {
+        n: df.select("*", *[(F.col(f"v_{n}") + i).alias(f"{n}{i}") for i in range(width)])
+        for n, df in tables.items()
+    }
+
+
+def _saved(spark, tables, tmp_path):
+    for name, df in tables.items():
         df.write.parquet(str(tmp_path / name))
-        tables[name] = spark.read.parquet(str(tmp_path / name))
+    return {name: spark.read.parquet(str(tmp_path / name)) for name in tables}
+
+
+def _sort_merge_plan(spark, tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(outer_merge(tables, KEYS))
+        return plan(outer_merge(tables, KEYS))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_wide_tables_equal_pandas(spark):
+    tables = _wide(_random_tables(spark, 7))
+    assert _sorted(outer_merge(tables, KEYS)) == _by_pandas(tables)
+    hot = _wide(_random_tables(spark, 8, size=40, hot=80))
+    assert _sorted(outer_merge(hot, KEYS, hot_rows=30)) == _by_pandas(hot)
+
+
+def test_wide_tables_are_shuffled_once_each(spark, tmp_path):
+    tables = _saved(spark, _wide(_random_tables(spark, 1)), tmp_path)
+    text = _sort_merge_plan(spark, tables)
     assert text.count("Exchange hashpartitioning") == len(tables) + 1
     assert text.count("SortMergeJoin") == len(tables)
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_narrow_tables_are_chained(spark, tmp_path):
+    text = _sort_merge_plan(spark, _saved(spark, _random_tables(spark, 1), tmp_path))
+    assert text.count("FullOuter") == 2 and text.count("Exchange hashpartitioning") == 4
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
 def test_row_count_of_unique_keys_is_the_union(spark):
     day = dt.date(2020, 1, 1)
     sets = [set(range(0, 9)), set(range(5, 14)), set(range(3, 20, 4))]
