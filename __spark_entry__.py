@@ -59,8 +59,18 @@ def _fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return barloom.stock_fundamentals(_enriched(spark, sf_dir))
 
 
-def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return barloom.enrich_prices(landed(spark, sf_dir, "prices"))
+def _windows(spark: SparkSession, sf_dir: str, prices: str = "prices") -> DataFrame:
+    return barloom.enrich_prices(landed(spark, sf_dir, prices))
+
+
+def _average(spark: SparkSession, sf_dir: str, prices: str = "prices") -> DataFrame:
+    closes = landed(spark, sf_dir, prices).select("Ticker", "Date", "Close")
+    return _rounded(barloom.moving_average(closes))
+
+
+def _monthly_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    served = barloom.stock_prices(_windows(spark, sf_dir, "part_prices"))
+    return _rounded(barloom.monthly_price_stats(served))
 
 
 def _prices_external(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,9 +251,7 @@ def queries() -> dict[str, Query]:
         ),
         "company_lookup": _company_lookup,
         "stock_fundamentals": lambda s, d: _rounded(_fundamentals(s, d)),
-        "sma_20": lambda s, d: _rounded(
-            barloom.moving_average(landed(s, d, "prices").select("Ticker", "Date", "Close"))
-        ),
+        "sma_20": _average,
         "daily_return": lambda s, d: _rounded(
             barloom.daily_return(landed(s, d, "prices").select("Ticker", "Date", "Close"))
         ),
@@ -259,6 +267,9 @@ def queries() -> dict[str, Query]:
         "monthly_sorted_head": lambda s, d: _rounded(
             barloom.newest_first(_monthly(s, d)).limit(100)
         ),
+        "sma_20_by_part": lambda s, d: _average(s, d, "part_prices"),
+        "enrich_prices_by_part": lambda s, d: _rounded(_windows(s, d, "part_prices")),
+        "monthly_price_stats_by_part": _monthly_by_part,
         "latest_year": lambda s, d: barloom.latest_year(_fundamentals(s, d)),
         "top_performers": lambda s, d: _rounded(_top(s, d)),
         "top_performers_preview": lambda s, d: _rounded(

@@ -58,6 +58,21 @@ select p_brand as Ticker,
        cast(sum(l_quantity) as bigint) as Volume
 from {lineitem} join {part} on l_partkey = p_partkey
 group by p_brand, cast(l_shipdate as date)
+""",
+    # Brands are few, so their daily bars stop growing; bars per part grow with the data.
+    "part_prices": """
+select concat('P', cast(l_partkey as string)) as Ticker,
+       cast(l_shipdate as date) as Date,
+       cast(min(l_extendedprice) as double) as Open,
+       cast(max(l_extendedprice) as double) as High,
+       cast(min(l_extendedprice) as double) as Low,
+       case when cast(sum(l_quantity) as bigint) % 19 = 0 then null
+            when cast(sum(l_quantity) as bigint) % 17 = 0 then cast(0 as double)
+            else cast(max(l_extendedprice) as double) end as Close,
+       cast(max(l_extendedprice) as double) as Adj_Close,
+       cast(sum(l_quantity) as bigint) as Volume
+from {lineitem}
+group by l_partkey, cast(l_shipdate as date)
 """,
     "companies": """
 select concat('C', cast(c_custkey as string)) as Ticker, c_name as Company_Name

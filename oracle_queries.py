@@ -176,6 +176,11 @@ def _select(step: str, columns: tuple[str, ...], tail: str = "") -> str:
     return _with((step,), f"select {chosen} from {step} {tail}")
 
 
+def _per_part(sql: str) -> str:
+    """The same query over the daily bars of parts instead of brands."""
+    return sql.replace(oracle_input("prices"), oracle_input("part_prices"))
+
+
 def oracle_sql() -> dict[str, str]:
     merged = _select("merged", _MERGED_COLUMNS)
     keys = ("Ticker", "Report_Date")
@@ -212,6 +217,9 @@ def oracle_sql() -> dict[str, str]:
             "order by Year desc nulls last, Month desc nulls last, "
             "Ticker asc nulls first limit 100",
         ),
+        "sma_20_by_part": _per_part(_select("windows", ("Ticker", "Date", "Close", "SMA_20"))),
+        "enrich_prices_by_part": _per_part(_select("windows", _WINDOW_COLUMNS)),
+        "monthly_price_stats_by_part": _per_part(_select("monthly", _MONTHLY_COLUMNS)),
         "latest_year": _with(
             ("stock_fundamentals",), "select max(Year) as max_year from stock_fundamentals"
         ),

@@ -145,6 +145,17 @@ def test_plain_plan_has_one_exchange_and_one_window(spark, tmp_path):
     assert "Python" not in text
 
 
+def test_monthly_stats_reuse_the_partitioning_of_the_window(spark, tmp_path):
+    path = str(tmp_path / "prices")
+    data = [("A", dt.date(2024, 1, 2), 1.0, 2.0, 0.5, 1.5, 1.5, 10)]
+    spark.createDataFrame(data, schemas.PRICES).write.parquet(path)
+    served = barloom.stock_prices(barloom.enrich_prices(spark.read.parquet(path)))
+    text = plan(barloom.monthly_price_stats(served))
+    assert text.count("Exchange") == 1 and "hashpartitioning(Ticker" in text
+    counted = plan(barloom.quality_summary(served, served))
+    assert "Window" not in counted
+
+
 def test_ticker_filter_passes_below_the_window(spark, tmp_path):
     path = str(tmp_path / "prices")
     _random_prices(spark).write.parquet(path)
