@@ -235,7 +235,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return _rounded(_monthly(spark, "/root/testdata/sf0.001"))
 
 
+def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the corpus operators, where that subpackage is present."""
+    try:
+        import corpus_pipeline
+        from barloom.llm import queries as corpus
+    except ModuleNotFoundError as missing:
+        if missing.name in ("barloom.llm", "corpus_pipeline"):
+            return {}, {}
+        raise
+    sql = corpus.oracle_sql()
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {"pipeline": corpus_pipeline.run, **corpus.queries()}, sql
+
+
 def queries() -> dict[str, Query]:
+    return {**library_queries(), **_corpus()[0]}
+
+
+def library_queries() -> dict[str, Query]:
+    """The queries of statements and prices."""
     return {
         "merge_statements": lambda s, d: barloom.merge_statements(*_statements(s, d)),
         "merge_statements_unique": lambda s, d: barloom.merge_statements(
@@ -287,10 +307,10 @@ def queries() -> dict[str, Query]:
         "partitioned_roundtrip_month": _roundtrip_month,
         "external_auto_schema": _external_auto,
         "saved_table_and_view": _saved_table_and_view,
-        "pipeline": lambda s, d: _run_pipeline(s, d).quality,
+        "stock_pipeline": lambda s, d: _run_pipeline(s, d).quality,
         "pipeline_top_performers": _pipeline_top,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    return {**oracle_queries.oracle_sql(), **_corpus()[1]}

@@ -243,6 +243,6 @@ def oracle_sql() -> dict[str, str]:
         "partitioned_roundtrip_month": _select("windows", _STOCK_PRICE_COLUMNS),
         "external_auto_schema": _select("windows", _WINDOW_COLUMNS),
         "saved_table_and_view": _select("annual", _ANNUAL_COLUMNS),
-        "pipeline": _with(("stock_fundamentals", "stock_prices"), _CHECKS + _REJECTED),
+        "stock_pipeline": _with(("stock_fundamentals", "stock_prices"), _CHECKS + _REJECTED),
         "pipeline_top_performers": _select("top", _TOP_COLUMNS),
     }

@@ -7,9 +7,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+import oracle_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-ORACLES = entry.oracle_sql()
+ORACLES = oracle_queries.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
@@ -34,12 +35,12 @@ def _comparable(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(ORACLES)
+    assert set(entry.library_queries()) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, duck, name):
-    got = entry.queries()[name](spark, SF_DIR).toPandas()
+    got = entry.library_queries()[name](spark, SF_DIR).toPandas()
     expected = duck.execute(ORACLES[name]).df()
     assert len(got) > 0
     pd.testing.assert_frame_equal(
