@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, langid, mixing, secrets, simhash, warc
+from barloom.llm import bpe, chat, langid, mixing, near_vectors, neighbours, secrets, simhash, warc
 from barloom.sinks import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_table(spark, sf_dir, "documents"))
 
@@ -56,8 +60,13 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_near_vectors": op1_near_vectors,
         "op2_bpe": op2_bpe,
         "op3_mixing": op3_mixing,
         "op4_warc": op4_warc,
@@ -65,6 +74,7 @@ def queries() -> dict[str, Query]:
         "op7_langid": op7_langid,
         "op8_chat": op8_chat,
         "op9_secrets": op9_secrets,
+        "op10_neighbours": op10_neighbours,
     }
 
 

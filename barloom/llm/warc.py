@@ -118,7 +118,7 @@ def write_warc(
             for page, payload, url, digest, before in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     name = f"part-{task.partitionId():06d}-{uuid.uuid4().hex}.warc.gz"
-                    out, size = store.open_output_stream(f"{base}/{name}"), 0
+                    out, size = store.open_output_stream(f"{base}/{name}", compression=None), 0
                 member = _record(page, url, payload, base32(digest), before)
                 out.write(member)
                 size += len(member)
