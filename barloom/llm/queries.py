@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, langid, mixing, near_vectors, neighbours, secrets, simhash, warc
+from barloom.llm import bpe, chat, langid, mixing, near_vectors, neighbours, repeats, secrets, simhash, warc
 from barloom.sinks import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_bytes(_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_groups(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -70,6 +74,7 @@ def queries() -> dict[str, Query]:
         "op2_bpe": op2_bpe,
         "op3_mixing": op3_mixing,
         "op4_warc": op4_warc,
+        "op5_repeats": op5_repeats,
         "op6_simhash": op6_simhash,
         "op7_langid": op7_langid,
         "op8_chat": op8_chat,
