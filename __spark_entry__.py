@@ -124,6 +124,13 @@ def _raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, f"{path}/*.parquet", schemas.PRICES)
 
 
+def _raw_headers_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet under the vendor's own headers, read with the declared schema."""
+    path = scratch_dir(spark, "vendor")
+    _raw_headers(landed(spark, sf_dir, "prices")).write.parquet(path)
+    return files.read_parquet(spark, path, schemas.PRICES)
+
+
 def _deliver(df: DataFrame, root: str, table: str, variant: str) -> None:
     """Write ``df`` as a vendor would: raw headers, semicolons, other date format."""
     path = files.delivery_path(root, table, variant, files.MARKET)
@@ -134,7 +141,60 @@ def _deliver(df: DataFrame, root: str, table: str, variant: str) -> None:
 def _csv_source_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "delivery")
     _deliver(landed(spark, sf_dir, "prices"), root, "shareprices", files.VARIANT_PRICES)
-    return files.read_prices(spark, root, date_format=DELIVERED_DATES)
+    read = files.read_prices(spark, root, date_format=DELIVERED_DATES)
+    return read.withColumn("Date", F.col("Date").try_cast("date"))
+
+
+def _quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of a whole run whose price delivery has dates that are none."""
+    prices = landed(spark, sf_dir, "prices")
+    text = F.date_format("Date", DELIVERED_DATES)
+    bad = F.concat(F.lit("no "), text)
+    root = scratch_dir(spark, "delivery")
+    delivered = prices.withColumn("Date", F.when(F.col("Volume") % 23 == 0, bad).otherwise(text))
+    _deliver(delivered, root, "shareprices", files.VARIANT_PRICES)
+    read = files.read_prices(spark, root, date_format=DELIVERED_DATES)
+    return _run_pipeline(spark, sf_dir, read).quality
+
+
+def _all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements with a column that no schema declares, and that they share."""
+    root = scratch_dir(spark, "delivery")
+    delivered = {}
+    for name, df in zip(STATEMENTS, _statements(spark, sf_dir)):
+        shared = df.withColumn("Fiscal Year", F.year("Report_Date"))
+        _deliver(shared, root, name, files.VARIANT_STATEMENTS)
+        delivered[name] = files.read_statement(spark, root, name, date_format=DELIVERED_DATES)
+    staged = barloom.plans.pipeline.stage(spark, scratch_dir(spark, "lake"), delivered)
+    return barloom.merge_statements(**staged)
+
+
+def _repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements with NULL tickers and dates and with keys that occur several times."""
+    changed = []
+    for df in _statements(spark, sf_dir):
+        number = F.substring("Ticker", 2, 12).cast("long")
+        nothing = {"Ticker": F.lit(None).cast("string"), "Report_Date": F.lit(None).cast("date")}
+        blank = df.where(number % 350 == 0).withColumns(nothing)
+        changed.append(df.union(df.where(number % 5 == 0)).union(blank))
+    return barloom.merge_statements(*changed)
+
+
+def _several_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annual metrics over two different reports of each ticker and year."""
+    one = _fundamentals(spark, sf_dir)
+    doubled = {c: F.col(c) * 2 for c in ("Revenue", "Net_Income", "ROE", "Current_Ratio")}
+    return _rounded(barloom.annual_company_metrics(one.union(one.withColumns(doubled))))
+
+
+def _some_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup in a table that lacks some tickers and repeats others."""
+    companies = landed(spark, sf_dir, "companies")
+    number = F.substring("Ticker", 2, 12).cast("long")
+    some = companies.where(number % 3 != 0)
+    twice = some.where(number % 5 == 0).withColumn("Company_Name", F.concat(F.lit("Z "), "Company_Name"))
+    named = attach_company(landed(spark, sf_dir, "merged"), twice.union(some))
+    return named.select("Ticker", "Report_Date", "Company_Name")
 
 
 def _csv_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,11 +225,12 @@ def _roundtrip_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _external(spark: SparkSession, sf_dir: str, schema, key_typing: str) -> DataFrame:
     keys = ["Year", "Month"]
-    path = lake.write_partitioned(_windows(spark, sf_dir), scratch_dir(spark, "lake"), keys)
+    path = lake.write_partitioned(_prices_external(spark, sf_dir), scratch_dir(spark, "lake"), keys)
     database = _scratch_database(spark)
-    return catalog.register_external(
+    table = catalog.register_external(
         spark, f"{database}.stock_prices_external", path, keys, schema, key_typing
     )
+    return table.withColumn("Date", F.col("Date").try_cast("date"))
 
 
 def _scratch_database(spark: SparkSession) -> str:
@@ -199,14 +260,16 @@ def _saved_table_and_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(catalog.create_view(spark, f"{database}.annual_company_metrics", query))
 
 
-def _run_pipeline(spark: SparkSession, sf_dir: str) -> barloom.plans.pipeline.Loaded:
+def _run_pipeline(
+    spark: SparkSession, sf_dir: str, prices: DataFrame | None = None
+) -> barloom.plans.pipeline.Loaded:
     location = scratch_dir(spark, "warehouse")
     return barloom.run_pipeline(
         spark,
         scratch_dir(spark, "lake"),
         "scratch_" + location.rsplit("-", 1)[1],
         *_statements(spark, sf_dir),
-        landed(spark, sf_dir, "prices"),
+        landed(spark, sf_dir, "prices") if prices is None else prices,
         companies=landed(spark, sf_dir, "companies"),
         location=location,
     )
@@ -299,6 +362,21 @@ def library_queries() -> dict[str, Query]:
             _fundamentals(s, d), _prices(s, d), _prices_external(s, d)
         ),
         "ticker_score": lambda s, d: _rounded(barloom.ticker_score(_fundamentals(s, d))),
+        "ticker_score_split": lambda s, d: _rounded(
+            barloom.ticker_score(_fundamentals(s, d), hot_rows=50)
+        ),
+        "merge_statements_split": lambda s, d: barloom.merge_statements(
+            *_statements(s, d), hot_rows=1
+        ),
+        "merge_statements_repeated_keys": _repeated_keys,
+        "enrich_prices_split": lambda s, d: _rounded(
+            barloom.enrich_prices(landed(s, d, "prices"), hot_rows=40)
+        ),
+        "annual_several_reports": _several_reports,
+        "company_lookup_partial": _some_companies,
+        "quality_rejects": _quality_rejects,
+        "csv_statements_all_columns": _all_columns,
+        "raw_headers_declared": _raw_headers_declared,
         "raw_roundtrip": _raw_roundtrip,
         "csv_source_dates": _csv_source_dates,
         "csv_statements": _csv_statements,

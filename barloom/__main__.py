@@ -52,7 +52,6 @@ def main(argv: list[str] | None = None) -> None:
                 name: files.read_statement(spark, table=name, **given)
                 for name in schemas.STATEMENTS
             }
-            statements = pipeline.stage(spark, args.lake, statements)
             prices = files.read_prices(spark, **given)
             pipeline.extract(args.lake, **statements, prices=prices)
         modes = {"transform": [getattr(args, "mode", None)], "pipeline": pipeline.PARTITION_KEYS}

@@ -67,11 +67,11 @@ def simple_return(current: str | Column, previous: str | Column) -> Column:
 
 
 def calendar_year(date: str) -> Column:
-    return F.year(F.col(date)).cast("long")
+    return F.year(F.col(date).try_cast("date")).cast("long")
 
 
 def calendar_month(date: str) -> Column:
-    return F.month(F.col(date)).cast("long")
+    return F.month(F.col(date).try_cast("date")).cast("long")
 
 
 def _col(value: str | Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -23,19 +23,21 @@ def over_history(
     depth: int,
     key: str = "Ticker",
     order: str = "Date",
-    value: str = "Close",
+    reads: Sequence[str] = ("Close",),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add window ``measures`` that read ``value`` at most ``depth`` rows back.
+    """Add window ``measures`` that look at most ``depth`` rows back.
 
     ``measures`` gets the window (one ``key``, ascending ``order``) and returns the
-    new columns. ``(key, order)`` should be unique; ties are ordered by ``value``.
+    new columns. ``reads`` names every column that they read. ``(key, order)`` should
+    be unique; ties are ordered by ``reads``.
 
     The rows are shuffled once, by ``key``. Only keys that are too big for a task,
     which are looked for first, take another way: :func:`_over_blocks`.
     """
     hot = hot_keys({"": df}, [key], hot_rows)
-    window = Window.partitionBy(key).orderBy(order, value)
+    reads = list(reads)
+    window = Window.partitionBy(key).orderBy(order, *reads)
     if hot is None:
         return df.withColumns(measures(window))
     big = hot.select(key)
@@ -43,12 +45,18 @@ def over_history(
     histories = mark_hot(df, big, [key], "left_semi")
     blocks = sum(row[PARTS] for row in hot.collect())
     return others.unionByName(
-        _over_blocks(histories, measures, depth, blocks, key, order, value)
+        _over_blocks(histories, measures, depth, blocks, key, order, reads)
     )
 
 
 def _over_blocks(
-    df: DataFrame, measures: Measures, depth: int, blocks: int, key: str, order: str, value: str
+    df: DataFrame,
+    measures: Measures,
+    depth: int,
+    blocks: int,
+    key: str,
+    order: str,
+    reads: list[str],
 ) -> DataFrame:
     """Windows over histories that are cut into ordered blocks of about equal size.
 
@@ -57,9 +65,9 @@ def _over_blocks(
     ranges of the sort order and are written down, because the lead-ins and the rows
     themselves must see the same cuts. The input partition, which a retried task does
     not change, breaks ties: it lets the cuts fall between rows with the same key,
-    order and value, and such rows are alike to the measures.
+    order and read values, and such rows are alike to the measures.
     """
-    sort = [order, value, _TIE]
+    sort = [order, *reads, _TIE]
     ranged = (
         df.withColumn(_TIE, F.spark_partition_id())
         .repartitionByRange(blocks, key, *sort)
@@ -77,20 +85,34 @@ def _over_blocks(
 
 
 def _lead_in(cut: DataFrame, depth: int, key: str, sort: list[str]) -> DataFrame:
-    """For every block the last ``depth`` rows of the blocks before it."""
+    """For every block the last ``depth`` rows of the blocks before it.
+
+    A row at place ``_back`` from the end of its block belongs to a later block if the
+    blocks in between leave room for it. Which blocks can be reached at all is found on
+    one row per block, so a block gets ``depth`` rows however long or short the others
+    are.
+    """
     newest = Window.partitionBy(key, _BLOCK).orderBy(*[F.desc(c) for c in sort])
     ends = (
         cut.select(key, _BLOCK, *sort)
         .withColumn("_back", F.row_number().over(newest))
         .where(F.col("_back") <= depth)
-        .groupBy(key, _BLOCK)
-        .agg(F.sort_array(F.collect_list(F.struct(*sort))).alias("_end"))
     )
-    # One row per block, each with at most ``depth`` entries; a block is never empty,
-    # so ``depth`` blocks back are far enough.
-    before = Window.partitionBy(key).orderBy(_BLOCK).rowsBetween(-depth, -1)
-    joined = ends.withColumn("_rows", F.flatten(F.collect_list("_end").over(before)))
-    start = F.greatest(F.size("_rows") - F.lit(depth), F.lit(0)) + F.lit(1)
-    return joined.select(
-        key, _BLOCK, F.inline(F.slice("_rows", start, F.lit(depth))), F.lit(True).alias(_LEAD_IN)
+    until = Window.partitionBy(key).orderBy(_BLOCK)
+    sizes = cut.groupBy(key, _BLOCK).agg(F.count("*").alias("_n"))
+    sums = sizes.withColumn("_end", F.sum("_n").over(until))
+    # The blocks that follow one, with the rows between: those that ``depth`` reaches.
+    after = until.rowsBetween(1, depth)
+    following = F.collect_list(F.struct(F.col(_BLOCK).alias("to"), (F.col("_end") - F.col("_n")).alias("start")))
+    reach = sums.select(
+        F.col(key).alias("_of"),
+        F.col(_BLOCK).alias("_from"),
+        F.filter(following.over(after), lambda b: b["start"] - F.col("_end") < depth).alias("_next"),
+        "_end",
+    )
+    same = F.col(key).eqNullSafe(F.col("_of")) & (F.col(_BLOCK) == F.col("_from"))
+    room = lambda b: b["start"] - F.col("_end") + F.col("_back") <= depth
+    moved = ends.join(reach, same).select(
+        key, F.explode(F.filter("_next", room)).alias("_to"), *sort
     )
+    return moved.select(key, F.col("_to.to").alias(_BLOCK), *sort, F.lit(True).alias(_LEAD_IN))

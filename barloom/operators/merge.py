@@ -70,9 +70,16 @@ def outer_merge(
 
 
 def _merge_unique(tables: Mapping[str, DataFrame], keys: list[str]) -> DataFrame:
-    stacked = _stack(list(tables.values()))
-    measures = _measures(stacked, keys)
-    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in measures])
+    names = {n: f"_rows_{n}" for n in tables}
+    stacked = _stack([df.withColumn(names[n], F.lit(1)) for n, df in tables.items()])
+    measures = [c for c in _measures(stacked, keys) if c not in names.values()]
+    merged = stacked.groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in measures], *[F.sum(c).alias(c) for c in names.values()]
+    )
+    # A broken promise must not pass: the larger of two values would be a made-up row.
+    most = F.greatest(*[F.coalesce(c, F.lit(0)) for c in names.values()], F.lit(0))
+    broken = F.when(most > 1, F.raise_error(F.lit("unique_keys: a table repeats a key")))
+    return merged.where(broken.cast("string").isNull()).drop(*names.values())
 
 
 def _merge(tables: Mapping[str, DataFrame], keys: list[str]) -> DataFrame:
@@ -123,9 +130,11 @@ def _merge_hot(
     )
     merged = spine.groupBy(*join).agg(*[F.max(f"_has_{n}").alias(f"_has_{n}") for n in names])
     for n in names:
-        # The input partition is the coordinate: it is the same on a retried task, and
-        # it splits even rows that are copies of each other.
-        at = F.pmod(F.spark_partition_id(), F.col(f"_parts_{n}"))
+        # A hash of the row is the coordinate, so that a key whose rows all come from
+        # one task is spread; the input partition is added to split copies of a row.
+        # Both are the same on a retried task.
+        row = F.xxhash64(*keys, *_measures(tables[n], keys))
+        at = F.pmod(row + F.spark_partition_id(), F.col(f"_parts_{n}"))
         dealt = keyed[n].withColumn("_at", at).select(
             *_KEY,
             F.explode(_cells(names, n)).alias(_CELL),

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from barloom.operators.skew import HOT_ROWS
 
 _MAX_SIDE = 64
+_SPREAD = 4096
+_MAX_GROUPS = 1000
 _PRESENT = "_present"
 
 
@@ -22,21 +24,22 @@ def percent_ranks(
     """Add ``percent_rank`` columns, ``{metric: new column}``, within each ``group``.
 
     Only rows with all metrics present are ranked; the others get NULL. ``group`` must
-    have calendar cardinality (years), since a few numbers per group are broadcast.
-    While every group fits a task, plain windows do the work; their size is counted
+    have calendar cardinality (years): a few numbers per group are broadcast while there
+    are at most ``_MAX_GROUPS`` groups, and joined otherwise. While every group fits a task, plain windows do the work; their size is counted
     first.
     """
     present = reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in ranks])
     marked = df.withColumn(_PRESENT, present)
     sizes = marked.groupBy(group, _PRESENT).agg(F.count("*").alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    seen = sizes.agg(F.max("_n").alias("most"), F.count_distinct(group).alias("groups")).first()
+    largest, few = seen["most"] or 0, seen["groups"] <= _MAX_GROUPS
     if largest <= hot_rows:
         ranked = marked.withColumns(
             {name: _if_present(_plain_rank(group, m)) for m, name in ranks.items()}
         )
     else:
         side = min(_MAX_SIDE, math.ceil(math.sqrt(largest / max(hot_rows, 1))))
-        ranked = _bucketed_ranks(marked, group, ranks, side)
+        ranked = _bucketed_ranks(marked, group, ranks, side, few)
     return ranked.select(*df.columns, *ranks.values())
 
 
@@ -49,7 +52,7 @@ def _if_present(rank: Column) -> Column:
 
 
 def _bucketed_ranks(
-    df: DataFrame, group: str, ranks: Mapping[str, str], side: int
+    df: DataFrame, group: str, ranks: Mapping[str, str], side: int, few: bool
 ) -> DataFrame:
     """Ranks without a group ever being in one task.
 
@@ -61,16 +64,20 @@ def _bucketed_ranks(
     """
     metrics = list(ranks)
     cuts = _cuts(df.where(_PRESENT), group, metrics, side)
-    cut = _with_buckets(df, cuts, group, metrics, side)
+    cut = _with_buckets(df, cuts, group, metrics, side, few)
     below = _rows_below(cut.where(_PRESENT), cuts, group, metrics, side)
     # Only numbers, not the arrays they come from, travel through the shuffles.
     lower = {
         f"_lower_{m}": F.element_at(F.col(f"_below_{m}"), F.col(f"_bucket_{m}") + 1)
         for m in metrics
     }
+    # By the row, as all rows of a group may come from one task, and by the input
+    # partition, which parts copies of a row.
+    row = F.xxhash64(*[c for c in df.columns if c != _PRESENT])
+    spread = F.pmod(row + F.spark_partition_id(), F.lit(_SPREAD))
     out = (
-        _join_group(cut, below, group)
-        .withColumns({**lower, "_partition": F.spark_partition_id()})
+        _join_group(cut, below, group, few)
+        .withColumns({**lower, "_spread": spread})
         .drop(*[f"_below_{m}" for m in metrics])
     )
     for m, name in ranks.items():
@@ -78,7 +85,7 @@ def _bucketed_ranks(
         window = Window.partitionBy(group, f"_bucket_{m}", _PRESENT, "_salt").orderBy(m)
         before = F.col(f"_lower_{m}") + F.rank().over(window) - F.lit(1)
         share = F.try_divide(before.cast("double"), F.col("_rows") - F.lit(1))
-        out = out.withColumn("_salt", F.when(~between, F.col("_partition"))).withColumn(
+        out = out.withColumn("_salt", F.when(~between, F.col("_spread"))).withColumn(
             name, _if_present(F.coalesce(share, F.lit(0.0)))
         )
     return out
@@ -100,9 +107,9 @@ def _in_rows(cuts: str, side: int) -> Column:
 
 
 def _with_buckets(
-    df: DataFrame, cuts: DataFrame, group: str, metrics: list[str], side: int
+    df: DataFrame, cuts: DataFrame, group: str, metrics: list[str], side: int, few: bool
 ) -> DataFrame:
-    return _join_group(df, cuts, group).withColumns(
+    return _join_group(df, cuts, group, few).withColumns(
         {f"_bucket_{m}": _bucket(F.col(m), F.col(f"_cuts_{m}"), side) for m in metrics}
     ).drop(*[f"_cuts_{m}" for m in metrics])
 
@@ -153,6 +160,7 @@ def _rows_below(
     )
 
 
-def _join_group(df: DataFrame, small: DataFrame, group: str) -> DataFrame:
-    other = F.broadcast(small.withColumnRenamed(group, "_group"))
+def _join_group(df: DataFrame, small: DataFrame, group: str, few: bool) -> DataFrame:
+    other = small.withColumnRenamed(group, "_group")
+    other = F.broadcast(other) if few else other
     return df.join(other, F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")

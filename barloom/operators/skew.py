@@ -1,9 +1,9 @@
 """Finding the few keys that are too big for one task.
 
-A key is hot when it has more than ``hot_rows`` rows *and* more than ``SHARE`` of
-its table, about what an average task of a large shuffle holds. At most
-``1 / SHARE`` keys of a table can be hot, whatever the data, so they fit on the
-driver and in a broadcast. They are counted by a small job when an operator is
+A key is hot when it has more than ``hot_rows`` rows, whatever the size of its table.
+The ``MOST_KEYS`` largest of a table are treated as such, so they fit on the driver
+and in a broadcast; should there be more, those beyond have each less than
+``1 / MOST_KEYS`` of the rows. They are counted by a small job when an operator is
 built: usually none is found, and the operator needs no provision for skew at all.
 Which keys are found only changes how work is spread, never a result.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
-SHARE = 1e-4
+MOST_KEYS = 10_000
 _CLASSES = 65_536
 
 TABLE = "_table"
@@ -34,7 +34,7 @@ def hot_keys(
     all of them when most are unique. So rows are first counted per hash class
     (map-side, at most 65,536 counters per table), and exact keys are counted only
     inside the classes that are big enough to hide a hot key. What is collected are
-    at most ``1 / SHARE`` rows per table, or 65,536 where ``hot_rows`` is tiny.
+    at most 65,536 classes and ``MOST_KEYS`` keys per table.
     """
     keys = list(keys)
     number = F.pmod(F.xxhash64(*keys), F.lit(_CLASSES)).cast("int")
@@ -48,22 +48,16 @@ def hot_keys(
     big = _counted(slim, [TABLE, "_class"]).where(F.col("_n") > hot_rows).collect()
     if not big:
         return None
-    limits = {
-        row[TABLE]: float(max(hot_rows, row["_n"] * SHARE)) for row in _counted(slim, [TABLE]).collect()
-    }
-    classes = [(row[TABLE], row["_class"]) for row in big if row["_n"] > limits[row[TABLE]]]
-    if not classes:
-        return None
     spark = slim.sparkSession
+    classes = [(row[TABLE], row["_class"]) for row in big]
     inside = spark.createDataFrame(classes, f"{TABLE} string, _class int")
-    limit = spark.createDataFrame(list(limits.items()), f"{TABLE} string, _limit double")
-    hot = (
-        _counted(slim.join(F.broadcast(inside), [TABLE, "_class"]), [TABLE, *keys])
-        .join(F.broadcast(limit), TABLE)
-        .where("_n > _limit")
-        .select(TABLE, *keys, F.ceil(F.col("_n") / F.col("_limit")).cast("int").alias(PARTS))
+    counted = _counted(slim.join(F.broadcast(inside), [TABLE, "_class"]), [TABLE, *keys])
+    hot = counted.where(F.col("_n") > hot_rows).select(
+        TABLE, *keys, F.ceil(F.col("_n") / F.lit(max(hot_rows, 1))).cast("int").alias(PARTS)
     )
-    rows = hot.collect()
+    rows = []
+    for name in tables:
+        rows += hot.where(F.col(TABLE) == name).orderBy(F.desc(PARTS)).limit(MOST_KEYS).collect()
     return spark.createDataFrame(rows, _nullable(hot.schema)) if rows else None
 
 

@@ -10,6 +10,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom import schemas
 from barloom.plans import reports
@@ -56,8 +57,10 @@ def extract(
     prices: DataFrame,
     **merge_options,
 ) -> None:
-    """Merge the statements and land both raw tables."""
-    merged = merge_statements(income, balance, cashflow, **merge_options)
+    """Stage the statements, merge them, and land both raw tables."""
+    delivered = {"income": income, "balance": balance, "cashflow": cashflow}
+    staged = stage(income.sparkSession, lake, delivered)
+    merged = merge_statements(**staged, **merge_options)
     lake_sink.write_raw(merged, lake, FUNDAMENTALS)
     lake_sink.write_raw(prices, lake, PRICES)
 
@@ -77,7 +80,8 @@ def run_transform(
     if mode == FUNDAMENTALS:
         enriched = enrich_fundamentals(raw, companies)
     else:
-        enriched = enrich_prices(raw, n)
+        # Text, as the external table declares it: what is no date stays visible.
+        enriched = enrich_prices(raw, n).withColumn("Date", F.col("Date").cast("string"))
     path = lake_sink.transformed_path(lake, mode)
     return lake_sink.write_partitioned(enriched, path, PARTITION_KEYS[mode], overwrite)
 
@@ -107,8 +111,9 @@ def load(
     }
     fundamentals = f"{database}.stock_fundamentals"
     prices = f"{database}.stock_prices"
-    catalog.save_table(stock_fundamentals(external[FUNDAMENTALS]), fundamentals)
-    catalog.save_table(stock_prices(external[PRICES]), prices)
+    # The external tables lie in directories by year already: nothing has to move.
+    catalog.save_table(stock_fundamentals(external[FUNDAMENTALS]), fundamentals, cluster=False)
+    catalog.save_table(stock_prices(external[PRICES]), prices, cluster=False)
     views = create_views(spark, database, fundamentals, prices)
     quality = quality_summary(spark.table(fundamentals), spark.table(prices), external[PRICES])
     return Loaded(fundamentals, prices, views, quality)

@@ -10,6 +10,7 @@ from barloom.functions import metrics
 from barloom.functions.headers import clean_headers
 from barloom.functions.projection import project
 from barloom.operators.history import over_history
+from barloom.operators.skew import HOT_ROWS
 
 SMA_ROWS = 20
 
@@ -32,7 +33,7 @@ def moving_average(
     _check_rows(n)
     name = name or f"SMA_{n}"
     return over_history(
-        df, lambda w: {name: _average(w, value, n)}, depth=max(n - 1, 1), value=value, **options
+        df, lambda w: {name: _average(w, value, n)}, depth=max(n - 1, 1), reads=[value], **options
     )
 
 
@@ -40,10 +41,10 @@ def daily_return(
     df: DataFrame, value: str = "Close", name: str = "Daily_Return", **options
 ) -> DataFrame:
     """Simple return on the previous row, as a fraction; NULL after 0 or NULL."""
-    return over_history(df, lambda w: {name: _return(w, value)}, depth=1, value=value, **options)
+    return over_history(df, lambda w: {name: _return(w, value)}, depth=1, reads=[value], **options)
 
 
-def enrich_prices(raw: DataFrame, n: int = SMA_ROWS, **options) -> DataFrame:
+def enrich_prices(raw: DataFrame, n: int = SMA_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Raw prices with moving average, return, volume in millions, year and month.
 
     Both windows run over all raw rows in one pass; invalid closes are dropped only
@@ -58,7 +59,7 @@ def enrich_prices(raw: DataFrame, n: int = SMA_ROWS, **options) -> DataFrame:
             "Daily_Return": _return(w, "Close"),
         },
         depth=max(n - 1, 1),
-        **options,
+        hot_rows=hot_rows,
     )
     return windows.withColumns(
         {

@@ -39,6 +39,10 @@ PRICES = _schema(
     "Ticker string, Date date, Open double, High double, Low double, Close double, "
     "Adj_Close double, Volume bigint"
 )
+# As delivered and landed: dates that cannot be read are kept as text.
+PRICES_RAW = T.StructType(
+    [T.StructField(f.name, T.StringType()) if f.name == "Date" else f for f in PRICES.fields]
+)
 COMPANIES = _schema("Ticker string, Company_Name string")
 
 STATEMENTS = {"income": INCOME, "balance": BALANCE, "cashflow": CASHFLOW}
@@ -50,12 +54,13 @@ FUNDAMENTALS_EXTERNAL = _schema(
     "Debt_to_Equity double, Current_Ratio double"
 )
 PRICES_EXTERNAL = _schema(
-    "Ticker string, Date date, Open double, High double, Low double, Close double, "
+    "Ticker string, Date string, Open double, High double, Low double, Close double, "
     "Adj_Close double, Volume bigint, Volume_Millions double, Daily_Return double"
 )
 STOCK_FUNDAMENTALS = T.StructType(
     FUNDAMENTALS_EXTERNAL.fields + _schema("Year bigint").fields
 )
 STOCK_PRICES = T.StructType(
-    PRICES_EXTERNAL.fields + _schema("Year bigint, Month bigint").fields
+    PRICES.fields
+    + _schema("Volume_Millions double, Daily_Return double, Year bigint, Month bigint").fields
 )

@@ -34,16 +34,18 @@ def register_external(
     """(Re)create table ``name`` over partitioned Parquet at ``path``.
 
     Without ``schema`` the columns are taken from the files. Partition keys are
-    declared last, as strings or as integers, so no session setting is changed.
-    Dropping the old table leaves its files alone.
+    declared last, as strings or in the types that their directory names suggest, so no
+    session setting is changed. Dropping the old table leaves its files alone.
     """
     if key_typing not in (KEYS_AS_STRINGS, KEYS_TYPED):
         raise ValueError(f"unknown key typing {key_typing!r}")
     lower = {k.lower() for k in keys}
-    columns = schema if schema is not None else spark.read.parquet(path).schema
-    key_type = T.StringType() if key_typing == KEYS_AS_STRINGS else T.LongType()
+    found = spark.read.parquet(path).schema
+    columns = schema if schema is not None else found
+    inferred = {f.name.lower(): _key_type(f.dataType) for f in found.fields if f.name.lower() in lower}
     fields = [f for f in columns.fields if f.name.lower() not in lower]
-    fields += [T.StructField(k, key_type) for k in keys]
+    typed = key_typing == KEYS_TYPED
+    fields += [T.StructField(k, inferred[k.lower()] if typed else T.StringType()) for k in keys]
     ddl = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
     drop_table(spark, name)
     spark.sql(
@@ -58,9 +60,20 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
 
 
-def save_table(df: DataFrame, name: str, keys: Sequence[str] = ("Year",)) -> DataFrame:
-    """Replace table ``name`` by the rows of ``df``, partitioned by ``keys``."""
-    clustered(df, keys).write.mode("overwrite").format("parquet").partitionBy(
+def _key_type(kind: T.DataType) -> T.DataType:
+    """Whole numbers are long whatever their size, so that new directories fit."""
+    return T.LongType() if isinstance(kind, T.IntegerType) else kind
+
+
+def save_table(
+    df: DataFrame, name: str, keys: Sequence[str] = ("Year",), cluster: bool = True
+) -> DataFrame:
+    """Replace table ``name`` by the rows of ``df``, partitioned by ``keys``.
+
+    Without ``cluster`` rows are written where they are read, which suits a source that
+    lies in directories of the same keys.
+    """
+    (clustered(df, keys) if cluster else df).write.mode("overwrite").format("parquet").partitionBy(
         *keys
     ).saveAsTable(quoted(name))
     return df.sparkSession.table(name)

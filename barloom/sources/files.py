@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom import schemas
-from barloom.functions.headers import check_unique, clean_header, clean_headers
+from barloom.functions.headers import check_unique, clean_header, clean_headers, has_column
 from barloom.functions.projection import project
 
 # Defaults of a delivery.
@@ -23,13 +24,13 @@ def read_csv(
     schema: T.StructType,
     date_format: str = DATE_FORMAT,
     sep: str = SEPARATOR,
-    keep_all: bool = False,
+    keep_all: bool = True,
 ) -> DataFrame:
     """Read a CSV with header, matching columns to ``schema`` by cleaned name.
 
     The header decides the order of columns; a text that does not parse becomes NULL,
-    and so does a declared column that the file lacks. Undeclared columns are dropped
-    (``keep_all``: kept as strings).
+    and so does a declared column that the file lacks. Undeclared columns follow as
+    strings; without ``keep_all`` they are dropped.
     """
     reader = spark.read.option("header", True).option("sep", sep)
     header = reader.csv(path).columns  # reads one line
@@ -89,13 +90,27 @@ def read_prices(
     market: str = MARKET,
     **csv_options,
 ) -> DataFrame:
+    """Daily prices. ``Date`` stays text: ISO where it is a date, else as delivered.
+
+    A date that cannot be read is then still there to be counted when it is served.
+    """
     path = delivery_path(root, "shareprices", variant, market)
-    return read_csv(spark, path, schemas.PRICES, **csv_options)
+    prices = read_csv(spark, path, schemas.PRICES_RAW, **csv_options)
+    read = F.try_to_timestamp("Date", F.lit(csv_options.get("date_format", DATE_FORMAT)))
+    return prices.withColumn("Date", F.coalesce(read.cast("date").cast("string"), "Date"))
 
 
 def read_parquet(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Parquet files, directories or globs; only declared columns when ``schema`` is given."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return clean_headers(reader.parquet(path))
+    """Parquet files, directories or globs under clean headers.
+
+    With ``schema`` only its columns, found by cleaned name, in its types; a column that
+    the files lack is NULL, but a file without any of them is refused.
+    """
+    found = clean_headers(spark.read.parquet(path))
+    if schema is None:
+        return found
+    if not any(has_column(found, f.name) for f in schema.fields):
+        raise ValueError(f"{path} has none of the declared columns {schema.fieldNames()}")
+    return project(found, schema)

@@ -150,12 +150,80 @@ union all select 'Prices row count', count(*) from stock_prices
 union all select 'Unique tickers in fundamentals', count(distinct Ticker) from stock_fundamentals
 union all select 'Unique tickers in prices', count(distinct Ticker) from stock_prices
 """
+# The names are the fixed values of ``barloom.plans.quality``.
 _REJECTED = """
 union all select 'Rejected price dates', count(*) from windows
 where Date is not null and try_cast(cast(Date as varchar) as date) is null
 """
 
 
+_REJECTED_DELIVERY = """
+union all select 'Rejected price dates', count(*) from prices where Date is not null and Volume % 23 = 0
+"""
+
+_ALL_COLUMNS = """
+select coalesce(i.Ticker, b.Ticker, c.Ticker) as Ticker,
+       coalesce(i.Report_Date, b.Report_Date, c.Report_Date) as Report_Date,
+       Revenue, Net_Income, Pretax_Income_Loss_Adj,
+       cast(year(i.Report_Date) as varchar) as Fiscal_Year_income,
+       Short_Term_Debt, Long_Term_Debt, Total_Current_Assets, Total_Current_Liabilities,
+       Total_Equity, Total_Assets, cast(year(b.Report_Date) as varchar) as Fiscal_Year_balance,
+       Net_Cash_from_Operating_Activities,
+       cast(year(c.Report_Date) as varchar) as Fiscal_Year_cashflow
+from income i full outer join balance b on i.Ticker = b.Ticker and i.Report_Date = b.Report_Date
+full outer join cashflow c on coalesce(i.Ticker, b.Ticker) = c.Ticker
+  and coalesce(i.Report_Date, b.Report_Date) = c.Report_Date
+"""
+
+# One side of a merge with repeated and NULL keys; ``mark`` tells a row from none.
+_CHANGED = """
+{0}_changed as (
+  select *, true as mark from {0}
+  union all select *, true from {0} where cast(substr(Ticker, 2) as bigint) % 5 = 0
+  union all select * replace (null as Ticker, null as Report_Date), true from {0}
+            where cast(substr(Ticker, 2) as bigint) % 350 = 0
+)"""
+_REPEATED = """
+, two as (
+  select case when i.mark then i.Ticker else b.Ticker end as Ticker,
+         case when i.mark then i.Report_Date else b.Report_Date end as Report_Date,
+         Revenue, Net_Income, Pretax_Income_Loss_Adj, Short_Term_Debt, Long_Term_Debt,
+         Total_Current_Assets, Total_Current_Liabilities, Total_Equity, Total_Assets, true as mark
+  from income_changed i full outer join balance_changed b
+    on i.Ticker is not distinct from b.Ticker and i.Report_Date is not distinct from b.Report_Date
+)
+select case when t.mark then t.Ticker else c.Ticker end as Ticker,
+       case when t.mark then t.Report_Date else c.Report_Date end as Report_Date,
+       Revenue, Net_Income, Pretax_Income_Loss_Adj, Short_Term_Debt, Long_Term_Debt,
+       Total_Current_Assets, Total_Current_Liabilities, Total_Equity, Total_Assets,
+       Net_Cash_from_Operating_Activities
+from two t full outer join cashflow_changed c
+  on t.Ticker is not distinct from c.Ticker and t.Report_Date is not distinct from c.Report_Date
+"""
+
+_TWO_REPORTS = """
+select * from stock_fundamentals
+union all
+select * replace (Revenue * 2 as Revenue, Net_Income * 2 as Net_Income, ROE * 2 as ROE,
+                  Current_Ratio * 2 as Current_Ratio)
+from stock_fundamentals
+"""
+
+_SOME_COMPANIES = """
+select m.Ticker, m.Report_Date, c.Company_Name
+from merged m left join companies c
+  on m.Ticker = c.Ticker and cast(substr(c.Ticker, 2) as bigint) % 3 <> 0
+"""
+
+
+def _repeated_keys() -> str:
+    """Statements with NULL keys and repeated keys, merged with NULL equal to NULL."""
+    names = ("income", "balance", "cashflow")
+    steps = [f"{n} as ({oracle_input(n)})" for n in names]
+    steps += [_CHANGED.format(n).strip() for n in names]
+    return "with " + ",\n".join(steps) + _REPEATED
+
+
 def _with(steps: tuple[str, ...], query: str) -> str:
     needed: list[str] = []
 
@@ -233,6 +301,21 @@ def oracle_sql() -> dict[str, str]:
         "ticker_score": _with(
             ("stock_fundamentals",), f"select {scores} from ({_SCORES.strip()})"
         ),
+        "ticker_score_split": _with(
+            ("stock_fundamentals",), f"select {scores} from ({_SCORES.strip()})"
+        ),
+        "merge_statements_split": merged,
+        "merge_statements_repeated_keys": _repeated_keys(),
+        "enrich_prices_split": _select("windows", _WINDOW_COLUMNS),
+        "annual_several_reports": _select("annual", _ANNUAL_COLUMNS).replace(
+            "from stock_fundamentals group by", f"from ({_TWO_REPORTS.strip()}) group by"
+        ),
+        "company_lookup_partial": _with(("merged", "companies"), _SOME_COMPANIES),
+        "quality_rejects": _with(
+            ("stock_fundamentals", "stock_prices"), _CHECKS + _REJECTED_DELIVERY
+        ),
+        "csv_statements_all_columns": _with(("income", "balance", "cashflow"), _ALL_COLUMNS),
+        "raw_headers_declared": prices,
         "raw_roundtrip": prices,
         "csv_source_dates": prices,
         "csv_statements": merged,

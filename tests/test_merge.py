@@ -125,6 +125,29 @@ def test_unique_keys_path(spark):
     )
 
 
+def test_unique_keys_refuses_a_repeated_key(spark):
+    a = spark.createDataFrame([("A", 1), ("A", 2)], "k string, x int")
+    b = spark.createDataFrame([("A", 3)], "k string, y int")
+    with pytest.raises(Exception, match="repeats a key"):
+        outer_merge({"a": a, "b": b}, ["k"], unique_keys=True).collect()
+
+
+def test_hot_rows_of_clustered_input_are_spread(spark):
+    """Rows of one key that all come from one task are dealt out by their values."""
+    data = spark.range(4000).selectExpr("'A' as k", "id as x").repartition(4, "k")
+    other = spark.createDataFrame([("A", 1)], "k string, y int")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = outer_merge({"a": data, "b": other}, ["k"], hot_rows=500)
+        sizes = merged.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r["count"] for r in sizes) == 4000 and max(r["count"] for r in sizes) < 2500
+
+
 def test_only_overlapping_names_get_a_suffix(spark):
     day = dt.date(2020, 1, 1)
     schema = "Ticker string, `Report Date` date, Currency string, {} int"

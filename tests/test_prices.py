@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import barloom
 from barloom import schemas
+from barloom.operators.history import over_history
 from tests.helpers import plan, rows, same
 
 PRICE = "Ticker string, Date date, Close double"
@@ -130,6 +131,20 @@ def test_split_enrichment_keeps_every_row_once(spark):
     assert rows(split) == rows(barloom.enrich_prices(df))
 
 
+def test_split_carries_every_column_that_is_read(spark):
+    df = _random_prices(spark, n=300).withColumn("Other", F.col("Close") * 2)
+
+    def measures(w):
+        frame = w.rowsBetween(-200, 0)
+        return {"a": F.sum("Close").over(frame), "b": F.sum("Other").over(frame)}
+
+    def run(**options):
+        out = over_history(df, measures, depth=200, reads=["Close", "Other"], **options)
+        return rows(out.select("Ticker", "Date", F.round("a", 6), F.round("b", 6)))
+
+    assert same(run(hot_rows=20), run())
+
+
 def test_split_works_on_timestamps(spark):
     df = _random_prices(spark).withColumn("Date", F.col("Date").cast("timestamp"))
     split = barloom.moving_average(df, 20, hot_rows=100)

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from barloom import schemas
 from barloom.sinks import catalog, lake, scratch_dir
@@ -55,7 +56,8 @@ def test_a_directory_gets_few_files(spark, tmp_path):
 @pytest.mark.parametrize("typing, expected", [("STRINGS", "string"), ("AUTO", "bigint")])
 @pytest.mark.parametrize("declared", [True, False])
 def test_external_table(spark, tmp_path, typing, expected, declared):
-    path = lake.write_partitioned(_dated(spark, DAYS), str(tmp_path / "t"), ["Year", "Month"])
+    dated = _dated(spark, DAYS).withColumn("Date", F.col("Date").cast("string"))
+    path = lake.write_partitioned(dated, str(tmp_path / "t"), ["Year", "Month"])
     catalog.create_database(spark, "ext", str(tmp_path / "db"))
     catalog.create_database(spark, "ext", str(tmp_path / "db"))
     schema = schemas.PRICES_EXTERNAL if declared else None
@@ -125,13 +127,14 @@ def test_csv_columns_are_matched_by_name(spark, tmp_path):
         "not a date;B;y;zzz;\n",
     )
     df = files.read_prices(spark, root, date_format="dd/MM/yyyy")
-    assert df.schema == schemas.PRICES
+    assert df.drop("Extra").schema == schemas.PRICES_RAW
+    assert sorted(r.Extra for r in df.collect()) == ["x", "y"]
     a, b = df.orderBy("Ticker").collect()
-    assert (a.Ticker, a.Date, a.Adj_Close, a.Volume) == ("A", dt.date(2024, 1, 5), 1.5, 7)
-    assert (b.Date, b.Adj_Close, b.Volume, b.Close) == (None, None, None, None)
+    assert (a.Ticker, a.Date, a.Adj_Close, a.Volume) == ("A", "2024-01-05", 1.5, 7)
+    assert (b.Date, b.Adj_Close, b.Volume, b.Close) == ("not a date", None, None, None)
     path = f"{root}/us-shareprices-daily.csv"
-    kept = files.read_csv(spark, path, schemas.PRICES, date_format="dd/MM/yyyy", keep_all=True)
-    assert sorted(r.Extra for r in kept.collect()) == ["x", "y"]
+    few = files.read_csv(spark, path, schemas.PRICES, date_format="dd/MM/yyyy", keep_all=False)
+    assert few.schema == schemas.PRICES
 
 
 def test_statement_variants(spark, tmp_path):
@@ -149,3 +152,45 @@ def test_scratch_is_below_the_checkpoint_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark), scratch_dir(spark)
     assert first.startswith(base) and first != second
+
+
+def test_scratch_needs_shared_storage_on_a_cluster(monkeypatch):
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session())
+    Context.master = "local[2]"
+    assert scratch_dir(Session())
+
+
+def test_raw_headers_are_found_by_clean_name(spark, tmp_path):
+    raw = spark.createDataFrame([("A", 1.4)], "Ticker string, `Adj. Close` double")
+    raw.write.parquet(str(tmp_path / "raw"))
+    back = files.read_parquet(spark, str(tmp_path / "raw"), schemas.PRICES)
+    assert back.schema == schemas.PRICES and back.first().Adj_Close == 1.4
+    other = spark.createDataFrame([(1,)], "x int")
+    other.write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="none of the declared"):
+        files.read_parquet(spark, str(tmp_path / "other"), schemas.PRICES)
+
+
+def test_text_keys_stay_text_when_types_are_inferred(spark, tmp_path):
+    df = spark.createDataFrame([(1, "us"), (2, "de")], "v int, Market string")
+    path = lake.write_partitioned(df, str(tmp_path / "m"), ["Market"])
+    catalog.create_database(spark, "keys", str(tmp_path / "db"))
+    table = catalog.register_external(spark, "keys.t", path, ["Market"], None, "AUTO")
+    assert dict(table.dtypes)["Market"] == "string" and table.count() == 2
+    lake.write_partitioned(df.withColumn("v", F.col("v") + 1), path, ["Market"])
+    again = catalog.register_external(spark, "keys.t", path, ["Market"], None, "AUTO")
+    assert sorted(r.v for r in again.collect()) == [2, 3]
