@@ -1,0 +1,83 @@
+import duckdb
+import pyarrow as pa
+import pytest
+
+from barloom.llm import mixing
+from tests.llm.cases import ROWS, documents
+
+
+def _sizes(spark, totals):
+    return spark.createDataFrame([(s, n) for s, n in totals.items()], "source string, size long")
+
+
+def _targets(totals, weights=(1, 2, 3), most=3):
+    """Excess shared again until nothing is above its limit."""
+    names = sorted((s for s in totals if s is not None), key=lambda s: s.encode()) + [None] * (None in totals)
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    full = set()
+    while True:
+        left = sum(totals.values()) - sum(most * totals[s] for s in full)
+        share = sum(w[s] for s in names if s not in full)
+        target = {s: most * totals[s] if s in full else left * w[s] / share for s in names}
+        over = {s for s in names if s not in full and target[s] > most * totals[s]}
+        if not over:
+            return target
+        full |= over
+
+
+@pytest.mark.parametrize(
+    "totals",
+    [
+        {"a": 10, "b": 1000, "c": 3, None: 50, "Z": 1, "é": 400},
+        {"only": 7},
+        {"a": 1, "b": 1, "c": 1_000_000},
+        {"a": 0, "b": 12, None: 0},
+    ],
+)
+def test_targets(spark, totals):
+    got = {r.source: r.target for r in mixing.source_targets(_sizes(spark, totals)).collect()}
+    assert got == pytest.approx(_targets(totals))
+
+
+def test_no_words_at_all(spark):
+    plan = mixing.mix_plan(spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string"))
+    assert sorted((r.doc_id, r.size, r.target, r.taken) for r in plan.collect()) == [(1, 0, 0.0, 0), (2, 0, 0.0, 0)]
+
+
+@pytest.mark.parametrize("bin_rows", [200_000, 7])
+def test_taken_is_near_target_and_reruns_agree(spark, monkeypatch, bin_rows):
+    monkeypatch.setattr(mixing, "BIN_ROWS", bin_rows)
+    rows = [(i, "w " * (1 + (i * 37) % 90), f"s{(i * i) % 5}" if i % 3 else "hot") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    one = {r.doc_id: r for r in mixing.mix_plan(docs).collect()}
+    two = {r.doc_id: r for r in mixing.mix_plan(docs.repartition(3)).collect()}
+    assert {i: r.taken for i, r in one.items()} == {i: r.taken for i, r in two.items()}
+    by_source = {}
+    for r in one.values():
+        assert 0 <= r.taken <= 3 * r.size
+        taken, _ = by_source.get(r.source, (0, 0))
+        by_source[r.source] = (taken + r.taken, r.target)
+    parts = 1 if bin_rows > 1000 else 40
+    assert all(abs(t - target) <= 90 * 2 * parts for t, target in by_source.values())
+    assert sum(t for t, _ in by_source.values()) == pytest.approx(sum(r.size for r in one.values()), rel=0.1)
+
+
+def test_documents_repeat_as_planned(spark):
+    docs = documents(spark)
+    plan = mixing.mix_plan(docs).collect()
+    assert len(plan) == len(ROWS)
+    mixed = mixing.mix_documents(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.count() == sum(r.copies for r in plan)
+    assert mixing.mix_plan(docs.limit(0)).count() == 0
+
+
+def test_plan_equals_its_sql(spark):
+    rows = [(i, "w " * ((i * 37) % 90), f"s{i % 7}" if i % 4 else None) for i in range(400)] + [(None, "a b", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    got = sorted(map(str, (tuple(r) for r in mixing.mix_plan(docs).select(columns).collect())))
+    con = duckdb.connect()
+    con.register("documents", pa.Table.from_pylist([dict(zip(("doc_id", "text", "source"), r)) for r in rows]))
+    expected = con.sql(f"select {', '.join(columns)} from ({mixing.MIX_SQL})").fetchall()
+    assert got == sorted(map(str, expected))

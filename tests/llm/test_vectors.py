@@ -1,0 +1,114 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.llm import near_vectors, neighbours
+from barloom.llm.common import Forest
+from barloom.llm.vectors import cosines
+
+SCHEMA = "vec_id long, embedding array<float>, label int, uid string, vec string, dim string, pass int"
+NAN, INF = float("nan"), float("inf")
+
+
+def _rows(seed=0, n=300, dim=16):
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(n, dim))
+    near = base[: n // 3] + rng.normal(size=(n // 3, dim)) * 0.1
+    ball = base[0] + rng.normal(size=(120, dim)) * 0.05
+    vectors = np.concatenate((base, near, ball, np.repeat(base[1:2], 150, axis=0))).astype(np.float32)
+    labels = rng.integers(0, 3, len(vectors))
+    labels[n + n // 3 :] = 1
+    rows = [(int(i), [float(x) for x in v], int(l)) for i, (v, l) in enumerate(zip(vectors, labels))]
+    odd = [None, [], [0.0] * dim, [NAN] * dim, [INF] + [1.0] * (dim - 1), [None] + [1.0] * (dim - 1), [1.0, 2.0]]
+    rows += [(10_000 + i, v, 1) for i, v in enumerate(odd)]
+    rows += [(20_000, rows[1][1], None), (20_001, [2.0, 4.0], 1), (None, rows[5][1], rows[5][2]), (7, rows[7][1], rows[7][2])]
+    return rows
+
+
+def _table(spark, rows):
+    return spark.createDataFrame([(*r, "u", "v", "d", 1) for r in rows], SCHEMA).repartition(4)
+
+
+def _valid(v):
+    return bool(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+def _brute(rows):
+    tree, links = Forest(len(rows)), [0] * len(rows)
+    usable = [_valid(r[1]) and r[2] is not None for r in rows]
+    arrays = [np.array(r[1], np.float64) if u else None for r, u in zip(rows, usable)]
+    for i in range(len(rows)):
+        for j in range(i):
+            if usable[i] and usable[j] and rows[i][2] == rows[j][2] and len(rows[i][1]) == len(rows[j][1]):
+                if cosines(arrays[i], arrays[j][None])[0] >= 0.93:
+                    links[i] += 1
+                    links[j] += 1
+                    tree.union(i, j)
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            least[tree.find(i)] = min(least.get(tree.find(i), r[0]), r[0])
+    out = []
+    for i, r in enumerate(rows):
+        c = least.get(tree.find(i))
+        out.append(str((r[0], links[i], c, c is None or r[0] == c)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block, window", [(1024, 48), (32, 4)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, block, window):
+    """A ball and a group of copies larger than window and block lose no link."""
+    monkeypatch.setattr(near_vectors, "BLOCK", block)
+    rows = _rows()
+    found = near_vectors.near_duplicates(_table(spark, rows), window=window)
+    assert sorted(str(tuple(r)) for r in found.collect()) == _brute(rows)
+
+
+def test_passes_grow_slowly():
+    counts = [near_vectors.passes_needed(n, 0.93) for n in (10, 10**4, 10**6, 10**9)]
+    assert counts == sorted(counts) and counts[-1] < 200
+
+
+def test_no_vectors(spark):
+    empty = _table(spark, _rows(n=6)).limit(0)
+    assert near_vectors.near_duplicates(empty).count() == 0
+    assert neighbours.nearest(empty, F.col("vec_id") % 50 == 0).count() == 0
+
+
+@pytest.mark.parametrize("chunk, queries", [(8192, 1024), (50, 3)])
+def test_neighbours_against_brute_force(spark, monkeypatch, chunk, queries):
+    monkeypatch.setattr(neighbours, "CHUNK", chunk)
+    monkeypatch.setattr(neighbours, "QUERIES", queries)
+    rows = _rows(seed=1, n=900)
+    got = {}
+    for r in neighbours.nearest(_table(spark, rows), F.col("vec_id") % 50 == 0).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    usable = [(r[0], np.array(r[1], np.float64)) for r in rows if _valid(r[1]) and r[0] is not None]
+    usable = list({(i, v.tobytes()): (i, v) for i, v in usable}.values())
+    hits = total = 0
+    for i, v in usable:
+        if i % 50:
+            continue
+        others = [(j, w) for j, w in usable if j != i and len(w) == len(v)]
+        scores = dict(zip((j for j, _ in others), cosines(v, np.stack([w for _, w in others])))) if others else {}
+        best = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:5]
+        found = got.get(i, [])
+        assert [f[0] for f in found] == list(range(1, len(best) + 1))
+        assert all(f[2] == scores[f[1]] for f in found)
+        assert [(-f[2], f[1]) for f in found] == sorted((-f[2], f[1]) for f in found)
+        hits += len({f[1] for f in found} & {b[0] for b in best})
+        total += len(best)
+    assert hits / total >= 0.9
+
+
+def test_adaptive_scan_keeps_the_nearest_and_ties():
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(4000, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    points[100:140] = points[100]
+    query = points[100]
+    blocks = [np.ascontiguousarray(points[:, a : a + 16]) for a in range(0, 64, 16)]
+    chosen = neighbours.scan_list(query, blocks, 6)
+    assert set(range(100, 140)) <= set(chosen.tolist()) and len(chosen) < 200
