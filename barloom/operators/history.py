@@ -24,7 +24,7 @@ def over_history(
     key: str = "Ticker",
     order: str = "Date",
     reads: Sequence[str] = ("Close",),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add window ``measures`` that look at most ``depth`` rows back.
 

@@ -41,7 +41,7 @@ def outer_merge(
     keys: Sequence[str],
     null_safe: bool = True,
     unique_keys: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Full outer join of all ``tables`` on ``keys``, one coalesced copy of each key.
 

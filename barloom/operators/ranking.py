@@ -19,30 +19,36 @@ _PRESENT = "_present"
 
 
 def percent_ranks(
-    df: DataFrame, group: str, ranks: Mapping[str, str], hot_rows: int = HOT_ROWS
+    df: DataFrame, group: str, ranks: Mapping[str, str], hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Add ``percent_rank`` columns, ``{metric: new column}``, within each ``group``.
 
     Only rows with all metrics present are ranked; the others get NULL. ``group`` must
     have calendar cardinality (years): a few numbers per group are broadcast while there
     are at most ``_MAX_GROUPS`` groups, and joined otherwise. While every group fits a task, plain windows do the work; their size is counted
-    first.
+    first, unless ``hot_rows`` is None, which says that every group does.
     """
     present = reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in ranks])
     marked = df.withColumn(_PRESENT, present)
     sizes = marked.groupBy(group, _PRESENT).agg(F.count("*").alias("_n"))
+    if hot_rows is None:
+        return _plain_ranks(marked, group, ranks).select(*df.columns, *ranks.values())
     seen = sizes.agg(F.max("_n").alias("most"), F.count_distinct(group).alias("groups")).first()
     largest, few = seen["most"] or 0, seen["groups"] <= _MAX_GROUPS
     if largest <= hot_rows:
-        ranked = marked.withColumns(
-            {name: _if_present(_plain_rank(group, m)) for m, name in ranks.items()}
-        )
+        ranked = _plain_ranks(marked, group, ranks)
     else:
         side = min(_MAX_SIDE, math.ceil(math.sqrt(largest / max(hot_rows, 1))))
         ranked = _bucketed_ranks(marked, group, ranks, side, few)
     return ranked.select(*df.columns, *ranks.values())
 
 
+def _plain_ranks(df: DataFrame, group: str, ranks: Mapping[str, str]) -> DataFrame:
+    return df.withColumns(
+        {name: _if_present(_plain_rank(group, m)) for m, name in ranks.items()}
+    )
+
+
 def _plain_rank(group: str, metric: str) -> Column:
     return F.percent_rank().over(Window.partitionBy(group, _PRESENT).orderBy(metric))
 

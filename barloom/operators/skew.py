@@ -26,16 +26,20 @@ PARTS = "_parts"
 
 
 def hot_keys(
-    tables: Mapping[str, DataFrame], keys: Sequence[str], hot_rows: int = HOT_ROWS
+    tables: Mapping[str, DataFrame], keys: Sequence[str], hot_rows: int | None = HOT_ROWS
 ) -> DataFrame | None:
     """The hot keys as ``(_table, *keys, _parts)``, or None if there is none.
 
+    ``hot_rows`` None says that no key is hot, and saves the job that looks for them.
+
     ``_parts`` is the number of tasks a key is worth. Counting every key would shuffle
     all of them when most are unique. So rows are first counted per hash class
     (map-side, at most 65,536 counters per table), and exact keys are counted only
     inside the classes that are big enough to hide a hot key. What is collected are
     at most 65,536 classes and ``MOST_KEYS`` keys per table.
     """
+    if hot_rows is None:
+        return None
     keys = list(keys)
     number = F.pmod(F.xxhash64(*keys), F.lit(_CLASSES)).cast("int")
     slim = reduce(

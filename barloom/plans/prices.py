@@ -44,7 +44,7 @@ def daily_return(
     return over_history(df, lambda w: {name: _return(w, value)}, depth=1, reads=[value], **options)
 
 
-def enrich_prices(raw: DataFrame, n: int = SMA_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+def enrich_prices(raw: DataFrame, n: int = SMA_ROWS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Raw prices with moving average, return, volume in millions, year and month.
 
     Both windows run over all raw rows in one pass; invalid closes are dropped only

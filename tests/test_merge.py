@@ -107,6 +107,7 @@ def test_hot_rows_are_spread(spark):
 
 def test_no_hot_keys_is_none(spark):
     assert hot_keys(_random_tables(spark, 1), KEYS) is None
+    assert hot_keys({"no table is read": None}, KEYS, hot_rows=None) is None
 
 
 def test_unique_keys_path(spark):
