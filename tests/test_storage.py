@@ -194,3 +194,16 @@ def test_text_keys_stay_text_when_types_are_inferred(spark, tmp_path):
     lake.write_partitioned(df.withColumn("v", F.col("v") + 1), path, ["Market"])
     again = catalog.register_external(spark, "keys.t", path, ["Market"], None, "AUTO")
     assert sorted(r.v for r in again.collect()) == [2, 3]
+
+
+def test_a_source_by_year_is_saved_as_it_lies(spark, tmp_path, monkeypatch):
+    def moved(*_):
+        raise AssertionError("rows are moved")
+
+    path = lake.write_partitioned(_dated(spark, DAYS[:3] * 400), str(tmp_path / "t"), ["Year"])
+    catalog.create_database(spark, "asis", str(tmp_path / "db"))
+    monkeypatch.setattr(catalog, "clustered", moved)
+    table = catalog.save_table(spark.read.parquet(path), "asis.t", cluster=False)
+    assert table.count() == 1200 and len(table.inputFiles()) <= 4
+    with pytest.raises(AssertionError, match="moved"):
+        catalog.save_table(spark.read.parquet(path), "asis.u")
