@@ -9,7 +9,6 @@ last mark to the leftmost start that no earlier match covers.
 from __future__ import annotations
 
 import functools
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
