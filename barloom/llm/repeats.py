@@ -40,6 +40,8 @@ LENGTH = 200
 CONTEXT = 40
 #: Distinct units of one anchor context that a task compares at most.
 TOGETHER = 4096
+#: Pairs of units looked at in one go, a bound on memory.
+_CELLS = 1 << 17
 _GRAM = 8
 _OFFSETS = LENGTH - CONTEXT + 1
 
@@ -149,17 +151,19 @@ def _order(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _common(rank: np.ndarray, common: np.ndarray, lengths: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Common lengths of the strings ``rows`` with all: minima over their neighbours."""
-    n = len(rank)
-    to = np.arange(n)
+    to = np.arange(len(rank))
     at = rank[rows][:, None]
-    padded = np.append(common, 1 << 30)
+    # Lengths are at most ``LENGTH``, so two bytes do, and none is larger than this.
+    most = np.int16(LENGTH + 1)
+    common, lengths = common.astype(np.int16), lengths.astype(np.int16)
     # From a string to the right: neighbours at, at + 1, ...; to the left: at - 1, ...
-    right = np.where(to[None, :] > at, np.insert(common, 0, 1 << 30)[None, :], 1 << 30)
-    left = np.where(to[None, :] < at, padded[None, :], 1 << 30)
-    by_rank = np.minimum(
-        np.minimum.accumulate(right, axis=1), np.minimum.accumulate(left[:, ::-1], axis=1)[:, ::-1]
-    )
-    return np.minimum(by_rank[:, rank], np.minimum(lengths[rows][:, None], lengths[None, :]))
+    by_rank = np.where(to > at, np.insert(common, 0, most), most)
+    np.minimum.accumulate(by_rank, axis=1, out=by_rank)
+    left = np.where(to < at, np.append(common, most), most)[:, ::-1]
+    np.minimum(by_rank, np.minimum.accumulate(left, axis=1)[:, ::-1], out=by_rank)
+    found = by_rank[:, rank]
+    np.minimum(found, lengths, out=found)
+    return np.minimum(found, lengths[rows][:, None], out=found)
 
 
 def shared_offsets(contexts: list[bytes], anchors: list[int], wanted: np.ndarray) -> np.ndarray:
@@ -170,7 +174,7 @@ def shared_offsets(contexts: list[bytes], anchors: list[int], wanted: np.ndarray
     right = _order([c[a : a + LENGTH] for c, a in zip(contexts, anchors)])
     left = _order([c[:a][::-1] for c, a in zip(contexts, anchors)])
     out = np.zeros((len(wanted), _OFFSETS), bool)
-    step = max(1, (1 << 20) // len(contexts))
+    step = max(1, _CELLS // len(contexts))
     for at in range(0, len(wanted), step):
         rows = wanted[at : at + step]
         low = np.maximum(0, LENGTH - _common(*right, rows))
