@@ -272,7 +272,7 @@ _RESULT = "k long, m int, n_bytes long, n_removed long, n_spans long, kept_sha25
 def _bucketed(texts: DataFrame) -> tuple[DataFrame, str]:
     """``texts`` as a table bucketed by key, so that what is joined to it moves alone."""
     spark = texts.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = f"texts_{uuid.uuid4().hex}"
     laid = texts.repartition(n, "k", "m")
     laid.write.option("path", scratch_dir(spark, "texts")).bucketBy(n, "k", "m").format("parquet").saveAsTable(name)
