@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-import tempfile
+import io
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.sinks import scratch_dir
@@ -23,13 +23,20 @@ SLICE_BYTES = 8 << 20
 
 @functools.cache
 def _ship(application: str) -> None:
-    """Give the library to the application's Python workers, once."""
+    """Give the library to the application's Python workers, once, by the shared folder."""
+    context = SparkContext.getOrCreate()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="barloom-")) / "barloom.zip"
+    archive = io.BytesIO()
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
         for file in sorted(package.rglob("*.py")):
             z.write(file, file.relative_to(package.parent))
-    SparkContext.getOrCreate().addPyFile(str(archive))
+    target = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark, "library") + "/barloom.zip")
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = store.create(target)
+    out.write(archive.getvalue())
+    out.close()
+    context.addPyFile(store.makeQualified(target).toString())
 
 
 def map_arrow(df: DataFrame, task: Callable, schema) -> DataFrame:
