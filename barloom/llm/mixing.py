@@ -23,7 +23,7 @@ MOST = 3
 #: Weights of the sources in order, repeated.
 WEIGHTS = (1, 2, 3)
 #: Rows numbered by one task at most, on average.
-BIN_ROWS = 200_000
+BIN_ROWS = 1_000
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -171,7 +171,7 @@ with sizes as (
     ('0x' || substr(md5(coalesce('s' || source, 'n')), 1, 13))::bigint / 4503599627370496.0::double as shift
   from limited
 ), parts as (
-  select source, length(bin(size)) as magnitude, ceil(count(*) / 200000.0)::bigint as parts
+  select source, length(bin(size)) as magnitude, ceil(count(*) / 1000.0)::bigint as parts
   from sizes group by 1, 2
 ), ranked as (
   select s.doc_id, s.source, s.size,
