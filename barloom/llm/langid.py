@@ -22,6 +22,8 @@ from barloom.llm.common import map_arrow, named, slices
 #: Labelled rows of each language that are trained on at most, and characters of each.
 SAMPLE_ROWS = 400
 SAMPLE_CHARS = 512
+#: Rows of a language that are hashed into the draw, as a multiple of those trained on.
+SPARE = 4
 #: Languages that are learned at most, the most frequent first.
 LANGUAGES = 64
 STRETCH = 64
@@ -250,14 +252,19 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Train on a bounded sample of labelled rows that are not held out.
 
     Per language the ``SAMPLE_ROWS`` rows that come first by a hash of their id, and of
-    each ``SAMPLE_CHARS`` characters from a place that the hash chooses. The limit by
-    language is applied in every task before its shuffle.
+    each ``SAMPLE_CHARS`` characters from a place that the hash chooses. Languages are
+    counted first, so that about ``SPARE`` times as many rows are all that is shuffled.
     """
     rows = docs.where(~held_out(id_col) & named(lang_col).isNotNull() & (F.length(named(text_col)) > 0)).select(
         named(lang_col).cast("string").alias("lang"),
         F.xxhash64(named(id_col)).alias("h"),
         named(text_col).cast("string").alias("text"),
     )
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    if not counts:
+        return train([], [])
+    shares = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], SPARE * SAMPLE_ROWS / r["n"])])
+    rows = rows.where(F.pmod("h", F.lit(1 << 20)) / F.lit(1 << 20) < shares[F.col("lang")])
     first = Window.partitionBy("lang").orderBy("h")
     room = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
     chosen = (
@@ -265,8 +272,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         .select("lang", "h", F.col("text").substr(F.col("at"), F.lit(SAMPLE_CHARS)).alias("text"))
         .withColumn("n", F.row_number().over(first))
         .where(F.col("n") <= SAMPLE_ROWS)
-        .orderBy("n", "lang")
-        .limit(SAMPLE_ROWS * LANGUAGES)
         .select("lang", "text", "h")
         .collect()
     )
