@@ -1,14 +1,16 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by passes of exhaustively compared buckets.
 
-A pass hashes every vector to the signs of random projections, puts the vectors in the
-lexicographic order of these signs, and compares each with its next ``WINDOW`` ones.
-Pairs that are near enough join a union over all passes. Near vectors share a long
-prefix of signs in some pass with a probability that the number of passes brings to
-``RECALL``; the number follows from the row count, so that it holds at any size.
+A pass hashes every vector to the signs of some random projections, and compares all
+vectors of a label that share these signs with each other, in blocks, however many they
+are. A pair at the threshold shares them with a probability that follows from its angle
+alone, so the number of passes that brings it to ``RECALL`` for a number of signs holds
+for any vectors: those with a common mean or in a dense cone too. How many signs are
+taken is measured on the vectors and decides only the cost; none at all, which compares
+every pair of a label once, is one of the choices.
 
 The union needs one path between two near vectors, not every pair. All links are then
-counted exactly inside each component, in blocks, so a dense group larger than any
-window loses none. Equal vectors are one row with a count throughout.
+counted exactly inside each component, in blocks. Equal vectors are one row with a count
+throughout.
 """
 
 from __future__ import annotations
@@ -21,97 +23,152 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import Forest, components, groups, map_arrow, materialize, named
+from barloom.llm.common import components, discard, groups, map_arrow, materialize, named
 from barloom.llm.vectors import as_rows, matrix, unit
 
 THRESHOLD = 0.93
+#: Comparisons of a row that cost as much as moving it once more.
 WINDOW = 48
 #: Probability that two vectors at the threshold meet in one of the passes.
 RECALL = 0.9995
-#: Signs in a key; passes that one job makes; rows of a block when links are counted.
+#: Signs in a key; passes that one job makes; passes on which the cost is measured; rows
+#: of a block when vectors are compared.
 BITS = 62
 PASSES_AT_ONCE = 8
+TRIALS = 2
 BLOCK = 1024
 SEED = 7
 
 _UNIT = "uid long, label long, dim int, vec array<double>, copies long"
 
 
-def passes_needed(rows: int, threshold: float, window: int = WINDOW, recall: float = RECALL) -> int:
-    """Passes after which a pair at ``threshold`` has met with probability ``recall``.
+def passes_of(signs: float, threshold: float, recall: float = RECALL) -> int:
+    """Passes after which a pair at ``threshold`` has shared ``signs`` signs in one with ``recall``.
 
-    Two vectors surely meet once they share so many signs that fewer than ``window``
-    others share them too; a sign agrees with probability 1 - angle / pi.
+    A sign agrees with probability 1 - angle / pi, wherever the two vectors lie.
     """
-    signs = max(1.0, math.log2(max(2, rows) / window) + 1)
-    one = (1 - math.acos(min(1.0, threshold)) / math.pi) ** signs
+    one = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** signs
     if one > 1 - 1e-12:
         return 1
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - one)))
+    return max(1, math.ceil(math.log(1 - recall) / math.log1p(-one)))
+
+
+def passes_needed(rows: int, threshold: float, window: int = WINDOW, recall: float = RECALL) -> int:
+    """Passes for ``rows`` vectors that lie evenly, with buckets of less than ``window``.
+
+    An estimate; :func:`signs_wanted` measures the vectors.
+    """
+    return passes_of(max(1.0, math.log2(max(2, rows) / window) + 1), threshold, recall)
 
 
-def _key_task(first: int, last: int):
+def _keys_of(batch: pa.RecordBatch, k: int, dim: int, signs: int) -> np.ndarray:
+    """The first ``signs`` signs of pass ``k`` as whole numbers."""
+    if not signs:
+        return np.zeros(batch.num_rows, np.int64)
+    planes = np.random.default_rng((SEED, k, dim)).normal(size=(dim, BITS))[:, :signs]
+    return ((unit(matrix(batch.column(3))) @ planes) > 0).astype(np.int64) @ (1 << np.arange(signs - 1, -1, -1, dtype=np.int64))
+
+
+def _key_task(first: int, last: int, signs: int, whole: bool):
+    """Keys of some passes, with the vectors if ``whole``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             dims = batch.column(2).to_numpy()
             for dim in np.unique(dims).tolist():
                 rows = batch.filter(pa.array(dims == dim))
-                vectors = unit(matrix(rows.column(3)))
                 for k in range(first, last):
-                    planes = np.random.default_rng((SEED, k, dim)).normal(size=(dim, BITS))
-                    key = ((vectors @ planes) > 0).astype(np.int64) @ weights
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(key), k)), rows.column(1), rows.column(2), pa.array(key), rows.column(0), rows.column(3)],
-                        names=["pass", "label", "dim", "sign", "uid", "vec"],
-                    )
+                    columns = [pa.array(np.full(rows.num_rows, k)), rows.column(1), rows.column(2), pa.array(_keys_of(rows, k, dim, signs))]
+                    names = ["pass", "label", "dim", "sign"]
+                    if whole:
+                        columns, names = [*columns, rows.column(0), rows.column(3)], [*names, "uid", "vec"]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def _window_task(threshold: float, window: int):
+_BUCKET = ["pass", "label", "dim", "sign"]
+_KEYED = "pass long, label long, dim int, sign long"
+
+
+def signs_wanted(plain: DataFrame, threshold: float, window: int = WINDOW) -> int:
+    """Number of signs with which the passes are cheapest, by the sizes of buckets.
+
+    A row costs, in each pass, as many comparisons as its bucket holds, and ``window`` for
+    each block that it is sent to.
+    """
+    largest = plain.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
+    # Comparing all pairs costs less than moving the rows as often as more signs need.
+    alone = largest + window * -(-largest // BLOCK)
+    depths = [d for d in range(0, BITS + 1, 2) if d == 0 or passes_of(d, threshold) * window < alone]
+    if len(depths) == 1:
+        return 0
+    keys = map_arrow(plain, _key_task(0, TRIALS, depths[-1], False), _KEYED)
+    fine = keys.groupBy(*_BUCKET).agg(F.count("*").alias("n"))
+    each = fine.withColumn("signs", F.explode(F.array(*map(F.lit, depths))))
+    each = each.withColumn("sign", F.expr(f"shiftright(sign, {depths[-1]} - signs)"))
+    sizes = each.groupBy("signs", *_BUCKET).agg(F.sum("n").cast("double").alias("n"))
+    cost = F.col("n") * (F.col("n") + window * F.ceil(F.col("n") / BLOCK))
+    costs = sizes.groupBy("signs").agg(F.sum(cost).alias("cost")).collect()
+    return min((r["cost"] * passes_of(r["signs"], threshold), r["signs"]) for r in costs)[1]
+
+
+def _meet_task(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Links of each vector with the next ones of its pass, label and dimension.
-
-        Only a spanning forest of a batch's links is given on.
-        """
-        for table in _runs(batches, window):
-            uids, vectors = table
-            tree = Forest(len(uids))
-            edges: list[tuple[int, int]] = []
-            step = max(64, window)
-            for a in range(0, len(uids), step):
-                near = vectors[a : a + step] @ vectors[a : a + step + window].T >= threshold
-                i, j = np.nonzero(near)
-                keep = (j > i) & (j - i <= window)
-                for x, y in zip((i[keep] + a).tolist(), (j[keep] + a).tolist()):
-                    if tree.union(x, y):
-                        edges.append((x, y))
-            if edges:
-                at = np.array(edges)
-                yield pa.RecordBatch.from_arrays([pa.array(uids[at[:, 0]]), pa.array(uids[at[:, 1]])], names=["a", "b"])
+        """A spanning forest of the links in each block, or between two blocks, of a bucket."""
+        for table in groups(batches, 6):
+            if table.num_rows < 2:
+                continue
+            i, j = table.column(4)[0].as_py(), table.column(5)[0].as_py()
+            own, uids = table.column(6).to_numpy(), table.column(7).to_numpy()
+            vectors = unit(matrix(table.column(8)))
+            near = vectors @ vectors.T >= threshold
+            if i != j:
+                near &= (own == i)[:, None] != (own == i)
+            a, b = _forest(near)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(uids[a]), pa.array(uids[b])], names=["a", "b"])
 
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(uids, unit vectors) of rows of one pass, label and dimension in order.
+def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of a symmetric relation; its diagonal does not count."""
+    np.fill_diagonal(near, False)
+    left = near.any(axis=1)
+    ends: list[tuple[np.ndarray, np.ndarray]] = []
+    for root in np.flatnonzero(left):
+        front = np.array([root]) if left[root] else np.empty(0, np.int64)
+        left[root] = False
+        while len(front):
+            links = near[front] & left
+            found = np.flatnonzero(links.any(axis=0))
+            ends.append((front[links[:, found].argmax(axis=0)], found))
+            left[found] = False
+            front = found
+    if not ends:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate([a for a, _ in ends]), np.concatenate([b for _, b in ends])
 
-    Long runs come in parts that overlap by ``window`` rows.
-    """
-    last, uids, vectors = None, None, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.column_stack([batch.column(k).to_numpy() for k in range(3)])
-        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            part = batch.slice(a, b - a)
-            own, rows = part.column(4).to_numpy(), unit(matrix(part.column(5)))
-            if last == tuple(keys[a]):
-                own, rows = np.concatenate((uids, own)), np.concatenate((vectors, rows))
-            yield own, rows
-            last, uids, vectors = tuple(keys[a]), own[-window:], rows[-window:]
+
+def _met(plain: DataFrame, first: int, last: int, signs: int, threshold: float) -> DataFrame:
+    """Links (a, b) that connect what is near in the buckets of some passes."""
+    keys = map_arrow(plain, _key_task(first, last, signs, False), _KEYED)
+    large = keys.groupBy(*_BUCKET).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    large = materialize(large, "buckets")
+    keyed = map_arrow(plain, _key_task(first, last, signs, True), f"{_KEYED}, uid long, vec array<double>")
+    dealt = (
+        keyed.join(large, _BUCKET, "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .withColumn("own", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(*_BUCKET, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "uid", "vec")
+    )
+    order = [*_BUCKET, "i", "j"]
+    together = dealt.repartition(*order).sortWithinPartitions(*order)
+    found = materialize(map_arrow(together, _meet_task(threshold), "a long, b long"), "near")
+    discard(large)
+    return found
 
 
 def _count_task(threshold: float):
@@ -160,18 +217,10 @@ def near_duplicates(
     )
     plain = units.select("uid", "label", "dim", "vec", "copies")
     edges = None
-    needed = passes_needed(plain.count(), threshold, window)
+    signs = signs_wanted(plain, threshold, window)
+    needed = passes_of(signs, threshold)
     for first in range(0, needed, PASSES_AT_ONCE):
-        keyed = map_arrow(
-            plain,
-            _key_task(first, min(needed, first + PASSES_AT_ONCE)),
-            "pass long, label long, dim int, sign long, uid long, vec array<double>",
-        )
-        order = ["pass", "label", "dim", "sign", "uid"]
-        # Ranges may cut a label anywhere; windows do not reach over a cut, of which
-        # there is one per task and pass, each time elsewhere.
-        laid = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-        found = materialize(map_arrow(laid, _window_task(threshold, window), "a long, b long"), "near")
+        found = _met(plain, first, min(needed, first + PASSES_AT_ONCE), signs, threshold)
         edges = found if edges is None else edges.union(found)
     linked = components(edges)
     members = plain.join(linked.withColumnRenamed("node", "uid"), "uid")

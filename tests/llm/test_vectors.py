@@ -71,6 +71,50 @@ def test_passes_grow_slowly():
     assert counts == sorted(counts) and counts[-1] < 200
 
 
+def _with_mean(n=6000, pairs=300, dim=64, share=0.7):
+    """Vectors of one label with a common mean, and isolated pairs at cosine 0.935 to 0.95."""
+    rng = np.random.default_rng(11)
+    mean = np.eye(dim)[0]
+    v = rng.normal(size=(n, dim))
+    v[:, 0] = 0
+    v = (1 - share) ** 0.5 * v / np.linalg.norm(v, axis=1, keepdims=True) + share**0.5 * mean
+    rows = [(i, [float(x) for x in r], 0) for i, r in enumerate(v)]
+    for k in range(pairs):
+        other = rng.normal(size=dim)
+        other -= (other @ v[k]) * v[k]
+        c = rng.uniform(0.935, 0.95)
+        w = c * v[k] + (1 - c * c) ** 0.5 * other / np.linalg.norm(other)
+        rows.append((n + k, [float(x) for x in w], 0))
+    return rows
+
+
+def test_pairs_among_vectors_with_a_common_mean(spark):
+    """Far more vectors than a window share the signs of such pairs."""
+    rows = _with_mean(dim=128, share=0.82)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors.near_duplicates(_table(spark, rows)).collect()}
+    links = [got[6000 + k] == (1, k) for k in range(300)]
+    assert sum(links) >= 299
+
+
+def test_pairs_in_buckets_of_signs(spark, monkeypatch):
+    """Signs are taken where they are cheaper, and buckets over a block lose no pair."""
+    monkeypatch.setattr(near_vectors, "BLOCK", 128)
+    monkeypatch.setattr(near_vectors, "signs_wanted", lambda *a: 4)
+    rows = _with_mean(n=1500, pairs=200)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors.near_duplicates(_table(spark, rows)).collect()}
+    assert sum(got[1500 + k] == (1, k) for k in range(200)) >= 199
+
+
+def test_signs_follow_the_vectors(spark):
+    """Evenly spread vectors are worth more signs than those with a common mean."""
+    wanted = []
+    for share in (0.0, 0.8):
+        rows = [(i, 0, 64, v, 1) for i, v, _ in _with_mean(n=8000, pairs=0, share=share)]
+        plain = spark.createDataFrame(rows, "uid long, label long, dim int, vec array<double>, copies long")
+        wanted.append(near_vectors.signs_wanted(plain, 0.93))
+    assert wanted[0] > wanted[1]
+
+
 def test_no_vectors(spark):
     empty = _table(spark, _rows(n=6)).limit(0)
     assert near_vectors.near_duplicates(empty).count() == 0
