@@ -9,6 +9,7 @@ last mark to the leftmost start that no earlier match covers.
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,13 +24,17 @@ from barloom.llm.common import map_arrow, named, slices
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret. ``least``: bytes of the value or match that make it one."""
+    """A kind of secret. ``least``: bytes of the value or match that make it one.
+
+    ``tail``: what belongs to a match besides, right after it.
+    """
 
     kind: str
     pattern: str
     least: int
     value: bool = False
     base: bool = True
+    tail: re.Pattern[bytes] | None = None
 
 
 def _either_case(word: str) -> str:
@@ -37,12 +42,21 @@ def _either_case(word: str) -> str:
 
 
 _KEYWORD = "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+#: What follows a private key's first line: all up to its last line, if no other such
+#: line comes between; else, as of a key that was cut off, its header fields, its tokens of
+#: 16 base64 characters or more and one shorter line after them.
+_KEY_TAIL = re.compile(
+    rb"[^-\xff]*+(?:-{1,4}+[^-\xff]++)*+-----END [A-Z ]*PRIVATE KEY-----"
+    rb"|(?:(?:[\s>#*|]|\\[rnt])*+[A-Za-z0-9-]++:[^\n\\\xff]*+)*+"
+    rb"(?:(?:[\s\"'+,>#*|]|\\[rnt])*+[A-Za-z0-9+/]{16,}+={0,2}+)++"
+    rb"(?:(?:\r?\n|\\n)[ \t>#*|]*+[A-Za-z0-9+/]++={0,2}+(?=[\s\"'\\]*[\n\xff\"']))?"
+)
 # The kinds, their patterns and least lengths.
 RULES = (
     Rule("assign", f"({_KEYWORD})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 6, value=True),
     Rule("access", "AKIA[A-Z0-9]+", 20),
     Rule("hex", "[0-9a-f]{24,}", 24),
-    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, base=False),
+    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, base=False, tail=_KEY_TAIL),
 )
 #: Never part of UTF-8, so it ends every match between two texts.
 _END = b"\xff"
@@ -77,9 +91,12 @@ def find_spans(texts: list[bytes]) -> list[list[tuple[str, int, int]]]:
                 start = farthest_start(reverse[k], joined, last, floor)
                 if start < 0:
                     continue
-                floor = last + 1
-                if _long_enough(rule, joined[start : last + 1]):
-                    found[doc].append((start - begin, k, last + 1 - begin))
+                to = last + 1
+                if rule.tail and (tail := rule.tail.match(joined, to)):
+                    to = tail.end()
+                floor = to
+                if _long_enough(rule, joined[start:to]):
+                    found[doc].append((start - begin, k, to - begin))
     return [[(RULES[k].kind, a, b) for a, k, b in sorted(spans)] for spans in found]
 
 

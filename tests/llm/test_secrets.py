@@ -42,6 +42,33 @@ def test_extra_rule_and_redaction():
     assert secrets.redact(text, spans) == b"[private_key]\n[assign]!"
 
 
+def _key(rng, n=1190):
+    import base64
+
+    body = base64.b64encode(bytes(rng.randrange(256) for _ in range(n))).decode()
+    return [body[a : a + 64] for a in range(0, len(body), 64)]
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n", "\\n", "\n> "])
+@pytest.mark.parametrize("fields", [[], ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B2C3D4E5F60718293A4B5C6D7E8F9", ""]])
+@pytest.mark.parametrize("last", ["-----END RSA PRIVATE KEY-----", None])
+def test_no_byte_of_a_key_is_left(line_end, fields, last):
+    """A whole key goes, and one that was cut off before its last line."""
+    lines = _key(random.Random(5))
+    key = line_end.join(["-----BEGIN RSA PRIVATE KEY-----", *fields, *lines, *([last] if last else [])])
+    texts = [f"before {key}\nSome words after it.", f"é secret={key}", key, f"{key}\n\n{key}\nand on"]
+    clean = [secrets.redact(t.encode(), s).decode() for t, s in zip(texts, secrets.find_spans([t.encode() for t in texts]))]
+    assert clean[0] == "before [private_key]\nSome words after it."
+    assert clean[1].startswith("é [assign]") and not any(line in clean[1] for line in lines)
+    assert clean[2] == "[private_key]" and clean[3] == "[private_key]\n\n[private_key]\nand on"
+
+
+def test_words_after_a_lone_first_line_stay():
+    text = b"-----BEGIN PRIVATE KEY-----\nis the first line of a key - see RFC 7468.\n-----BEGIN CERTIFICATE-----\n-----END PRIVATE KEY-----"
+    (spans,) = secrets.find_spans([text])
+    assert secrets.redact(text, spans) == b"[private_key]" + text[27:]
+
+
 @pytest.mark.parametrize("lanes", [1, 3, 64, 5000])
 def test_lanes_do_not_change_matches(lanes):
     import numpy as np
