@@ -17,14 +17,16 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import map_arrow, named, slices
+from barloom.llm.common import map_arrow, materialize, named, slices
 
 #: Labelled rows of each language that are trained on at most, and characters of each.
 SAMPLE_ROWS = 400
 SAMPLE_CHARS = 512
+#: Rows that are trained on at most, divided evenly among the languages; one each is sure.
+TOTAL_ROWS = 25_600
 #: Rows of a language that are hashed into the draw, as a multiple of those trained on.
 SPARE = 4
-#: Languages that are learned at most, the most frequent first.
+#: Languages that ``STEPS`` steps learn; more languages take as many times more steps.
 LANGUAGES = 64
 STRETCH = 64
 HIDDEN = 8
@@ -36,6 +38,8 @@ UNDETERMINED = "und"
 _PAD = 256
 _LETTER = regex.compile(r"\p{L}")
 _LANES = 2048
+#: Labels up to which a batch is whole; of more, batches are smaller and memory the same.
+_WIDE = 1024
 
 
 @dataclass
@@ -122,14 +126,16 @@ def train(texts: Sequence[str], labels: Sequence[str], hidden: int = HIDDEN, ste
     w = _initial(len(names), hidden, rng)
     first = {k: np.zeros_like(v) for k, v in w.items()}
     second = {k: np.zeros_like(v) for k, v in w.items()}
+    batch = max(1, BATCH * _WIDE // max(_WIDE, len(names)))
+    steps = steps * BATCH // batch * -(-len(names) // LANGUAGES)
     for step in range(1, steps + 1):
-        picked = rng.integers(0, len(names), BATCH)
+        picked = rng.integers(0, len(names), batch)
         codes = np.stack([pools[k][rng.integers(len(pools[k]))] for k in picked]).T
         forward, kept_f = _run(w, "f", codes)
         backward, kept_b = _run(w, "b", codes[::-1])
         scores = _softmax(forward @ w["out_f"] + backward[::-1] @ w["out_b"] + w["bias"])
         error = scores.copy()
-        error[:, np.arange(BATCH), picked] -= 1
+        error[:, np.arange(batch), picked] -= 1
         error *= ((codes != _PAD) / max(1, (codes != _PAD).sum()))[:, :, None].astype(np.float32)
         g = {k: np.zeros_like(v) for k, v in w.items()}
         g["bias"] += error.sum(axis=(0, 1))
@@ -231,11 +237,10 @@ def predict(model: Model, texts: Sequence[str | None]) -> list[tuple[str, float]
     codes = np.concatenate([c for c, _ in cut])
     lengths = np.concatenate([n for _, n in cut])
     owner = np.repeat(np.arange(len(wanted)), [len(c) for c, _ in cut])
-    sums = np.empty((len(codes), len(model.labels)))
-    for at in range(0, len(codes), _LANES):
-        sums[at : at + _LANES] = labeller(np.ascontiguousarray(codes[at : at + _LANES].T))
     total = np.zeros((len(wanted), len(model.labels)))
-    np.add.at(total, owner, sums)
+    lanes = max(1, _LANES * LANGUAGES // max(LANGUAGES, len(model.labels)))
+    for at in range(0, len(codes), lanes):
+        np.add.at(total, owner[at : at + lanes], labeller(np.ascontiguousarray(codes[at : at + lanes].T)).astype(np.float64))
     total /= np.bincount(owner, lengths)[:, None]
     best = total.argmax(axis=1)
     for k, b, row in zip(wanted, best.tolist(), total):
@@ -251,27 +256,31 @@ def held_out(id_col: str = "doc_id") -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Train on a bounded sample of labelled rows that are not held out.
 
-    Per language the ``SAMPLE_ROWS`` rows that come first by a hash of their id, and of
-    each ``SAMPLE_CHARS`` characters from a place that the hash chooses. Languages are
-    counted first, so that about ``SPARE`` times as many rows are all that is shuffled.
+    Every language is learned. Per language the ``SAMPLE_ROWS`` rows that come first by a
+    hash of their id, or an even part of ``TOTAL_ROWS`` if that is less, and of each
+    ``SAMPLE_CHARS`` characters from a place that the hash chooses. Languages are counted
+    first, so that about ``SPARE`` times as many rows are all that is shuffled.
     """
     rows = docs.where(~held_out(id_col) & named(lang_col).isNotNull() & (F.length(named(text_col)) > 0)).select(
         named(lang_col).cast("string").alias("lang"),
         F.xxhash64(named(id_col)).alias("h"),
         named(text_col).cast("string").alias("text"),
     )
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    counts = materialize(rows.groupBy("lang").agg(F.count("*").alias("of")), "languages")
+    found = counts.count()
+    if not found:
         return train([], [])
-    shares = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], SPARE * SAMPLE_ROWS / r["n"])])
-    rows = rows.where(F.pmod("h", F.lit(1 << 20)) / F.lit(1 << 20) < shares[F.col("lang")])
+    each = max(1, min(SAMPLE_ROWS, TOTAL_ROWS // found))
+    # At least 64 rows are expected in a draw, so that none comes out empty.
+    share = F.lit(float(SPARE * max(each, 16))) / F.col("of")
+    rows = rows.join(counts, "lang").where(F.pmod("h", F.lit(1 << 20)) / F.lit(1 << 20) < share)
     first = Window.partitionBy("lang").orderBy("h")
     room = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
     chosen = (
         rows.withColumn("at", F.pmod(F.col("h"), room).cast("int") + 1)
         .select("lang", "h", F.col("text").substr(F.col("at"), F.lit(SAMPLE_CHARS)).alias("text"))
         .withColumn("n", F.row_number().over(first))
-        .where(F.col("n") <= SAMPLE_ROWS)
+        .where(F.col("n") <= each)
         .select("lang", "text", "h")
         .collect()
     )

@@ -91,3 +91,19 @@ def test_documents(spark):
     assert kept.columns == docs.columns and kept.count() == len(ROWS) + len(rows) - 5
     empty = docs.limit(0)
     assert langid.identify(empty, langid.fit(empty)).count() == 0
+
+
+def test_rare_languages_are_learned(spark, monkeypatch):
+    """More than 64 labels, the last of them the rarest; the sample stays bounded."""
+    monkeypatch.setattr(langid, "TOTAL_ROWS", 300)
+    rng = random.Random(6)
+    texts = {f"l{k:02}": [chr(0x400 + 40 * k + c) for c in range(30)] for k in range(70)}
+    rows = [(k * 100 + i, "".join(rng.choice(texts[lang]) for _ in range(120)), lang, "s") for k, lang in enumerate(texts) for i in range(30 - k // 5)]
+    sample = []
+    train = langid.train
+    monkeypatch.setattr(langid, "train", lambda x, y: sample.extend(y) or train(x, y))
+    model = langid.fit(documents(spark, rows))
+    assert model.labels == sorted(texts) and len(sample) <= 300
+    found = langid.predict(model, [r[1] for r in rows])
+    rare = [f[0] == r[2] for f, r in zip(found, rows) if r[2] >= "l64"]
+    assert np.mean(rare) > 0.5
