@@ -312,12 +312,19 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.0) -> DataFrame:
-    """``docs`` without those whose text is ``und`` or scores below ``least``; columns stay."""
+    """``docs`` without those whose text is ``und`` or scores below ``least``; columns stay.
+
+    With a model that learned no language, every text that has a letter stays.
+    """
     column = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, column):
-            found = predict(model, batch.column(column).to_pylist())
-            yield batch.filter(pa.array([f[0] != UNDETERMINED and f[1] >= least for f in found]))
+            texts = batch.column(column).to_pylist()
+            if model.labels:
+                keep = [f[0] != UNDETERMINED and f[1] >= least for f in predict(model, texts)]
+            else:
+                keep = [bool(t and _LETTER.search(t)) for t in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return map_arrow(docs, run, docs.schema)

@@ -107,3 +107,11 @@ def test_rare_languages_are_learned(spark, monkeypatch):
     found = langid.predict(model, [r[1] for r in rows])
     rare = [f[0] == r[2] for f, r in zip(found, rows) if r[2] >= "l64"]
     assert np.mean(rare) > 0.5
+
+
+def test_documents_stay_where_no_language_was_learned(spark):
+    docs = documents(spark, [(i, t, None, s) for i, t, _, s in ROWS])
+    model = langid.fit(docs)
+    assert model.labels == []
+    lettered = [r for r in ROWS if r[1] and any(c.isalpha() for c in r[1])]
+    assert langid.keep_identified(docs, model).count() == len(lettered) > 0
