@@ -1,7 +1,7 @@
 """Removal of long repeated byte strings by prefix-free parsing and suffix order.
 
-Every window of ``LENGTH`` bytes has an anchor: its place of smallest rolling hash. The
-anchors cut a text into phrases and depend on a window's content alone, so equal windows
+Every window of ``LENGTH`` bytes has an anchor: its place of smallest hash of ``_GRAM``
+bytes. The anchors cut a text into phrases and depend on a window's content alone, so equal windows
 have equal anchors at the same offset. The windows of one anchor are a *unit*: its
 phrase from one anchor to the next, with what the last window reaches over. A unit has
 two keys, a hash of the ``CONTEXT`` bytes at its anchor, which any two equal windows
