@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, langid, mixing, near_vectors, neighbours, repeats, secrets, simhash, warc
+from barloom.llm import bpe, chat, host_rules, langid, mixing, near_vectors, neighbours, repeats, secrets, simhash, warc
 from barloom.sinks import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,13 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_rules.judge(_table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_near_vectors": op1_near_vectors,
@@ -80,8 +87,9 @@ def queries() -> dict[str, Query]:
         "op8_chat": op8_chat,
         "op9_secrets": op9_secrets,
         "op10_neighbours": op10_neighbours,
+        "op11_host_rules": op11_host_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.MIX_SQL}
+    return {"op3_mixing": mixing.MIX_SQL, "op11_host_rules": host_rules.HOST_RULES_SQL}
