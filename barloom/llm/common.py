@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.sinks import scratch_dir
@@ -45,6 +45,12 @@ def map_arrow(df: DataFrame, task: Callable, schema) -> DataFrame:
     return df.mapInArrow(task, schema)
 
 
+def apply_arrow(grouped: GroupedData, task: Callable, schema) -> DataFrame:
+    """``grouped.applyInArrow(task, schema)`` on executors that need not have the library."""
+    _ship(grouped.session.sparkContext.applicationId)
+    return grouped.applyInArrow(task, schema)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """``df`` written below the cluster's shared scratch folder and read again.
 

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, host_rules, langid, mixing, near_vectors, neighbours, repeats, secrets, simhash, warc
+from barloom.llm import (
+    bpe,
+    chat,
+    divergence,
+    host_rules,
+    langid,
+    mixing,
+    near_vectors,
+    neighbours,
+    prefix_trie,
+    repeats,
+    secrets,
+    simhash,
+    warc,
+)
 from barloom.sinks import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +89,15 @@ def op11_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.marked_turns(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.share_openings(turns))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_near_vectors": op1_near_vectors,
@@ -88,8 +111,15 @@ def queries() -> dict[str, Query]:
         "op9_secrets": op9_secrets,
         "op10_neighbours": op10_neighbours,
         "op11_host_rules": op11_host_rules,
+        "op12_divergence": op12_divergence,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.MIX_SQL, "op11_host_rules": host_rules.HOST_RULES_SQL}
+    return {
+        "op3_mixing": mixing.MIX_SQL,
+        "op11_host_rules": host_rules.HOST_RULES_SQL,
+        "op12_divergence": divergence.AUDIT_SQL,
+        "op13_prefix_trie": prefix_trie.TRIE_SQL,
+    }

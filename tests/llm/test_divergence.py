@@ -1,0 +1,112 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+
+from barloom.llm import divergence, queries
+from tests.llm.cases import ROWS, documents
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def _brute_force(rows, least=3, top=200):
+    counts, held, langs, groups = Counter(), Counter(), Counter(), set()
+    for _, text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        groups.add((lang, source))
+        found = Counter(TERM.findall((text or "").translate(UPPER)))
+        for t, n in found.items():
+            counts[lang, source, t] += n
+            langs[lang, t] += n
+            held[lang, t] += 1
+    kept = defaultdict(list)
+    for lang, t in held:
+        if held[lang, t] >= least:
+            kept[lang].append(t)
+    share = lambda n, total: 1 + 10**9 * (n + 1) // total
+    p, q = {}, {}
+    for lang, source in groups:
+        total = sum(counts[lang, source, t] for t in kept[lang]) + len(kept[lang])
+        whole = sum(langs[lang, t] for t in kept[lang]) + len(kept[lang])
+        for t in kept[lang]:
+            p[lang, source, t] = share(counts[lang, source, t], total)
+            q[lang, t] = share(langs[lang, t], whole)
+    out = set()
+    for lang, source in groups:
+        pairs = []
+        for other_lang, other in groups:
+            if other_lang == lang and other != source:
+                values = [(p[lang, source, t] - p[lang, other, t]) ** 2 // p[lang, other, t] for t in kept[lang]]
+                pairs.append((-sum(values), other.encode(), other))
+        terms = [
+            (-((p[lang, source, t] - q[lang, t]) ** 2 // q[lang, t]), t.encode(), t)
+            for t in kept[lang]
+            if counts[lang, source, t] and p[lang, source, t] > q[lang, t]
+        ]
+        for part, items in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+            out |= {(lang, source, part, item, -value, k) for k, (value, _, item) in enumerate(items, 1)}
+    return out
+
+
+def _corpus(n=220, sources=7):
+    rng = random.Random(11)
+    words = ["the", "The", "ÉTÉ", "été", "x1y", "漢字", "don't", "Größe", "a_b", "😀", "\x00nul", "tab\tbed"]
+    words += [f"w{chr(97 + i)}" for i in range(26)]
+    return [
+        (i, " ".join(rng.choices(words, k=rng.randrange(0, 60))), rng.choice(["en", "de", None]), rng.choice(["hot"] * 3 + [f"s{k}" for k in range(sources)]))
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("block, chunk, held", [(64, 4096, 200_000), (2, 5, 7)])
+def test_audit_equals_brute_force(spark, monkeypatch, block, chunk, held):
+    monkeypatch.setattr(divergence, "BLOCK", block)
+    monkeypatch.setattr(divergence, "CHUNK", chunk)
+    monkeypatch.setattr(divergence, "HELD_TERMS", held)
+    rows = _corpus() + ROWS
+    got = [tuple(r) for r in divergence.audit(documents(spark, rows)).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == _brute_force(rows)
+
+
+def test_ranks_of_terms_end_at_the_limit(spark):
+    rows = _corpus(80)
+    got = {tuple(r) for r in divergence.audit(documents(spark, rows), least=2, top=4).collect()}
+    assert got == _brute_force(rows, 2, 4)
+
+
+def test_terms_are_cut_alike_in_pieces(monkeypatch):
+    text = ("Äb c-D 1e " * 50 + "Ünder").encode()
+    whole = divergence.terms(text)
+    monkeypatch.setattr(divergence, "PIECE", 3)
+    assert divergence.terms(text) == whole == Counter({"Äb".encode(): 50, b"c": 50, b"d": 50, b"e": 50, "Ünder".encode(): 1})
+
+
+def test_nothing_kept_and_nothing_there(spark):
+    rows = [(1, "one", "en", "a"), (2, "two", "en", "b"), (3, None, "en", None)]
+    got = {tuple(r) for r in divergence.audit(documents(spark, rows)).collect()}
+    assert got == _brute_force(rows) and {r[4] for r in got} == {0} and len(got) == 6
+    assert divergence.audit(documents(spark, [])).collect() == []
+
+
+def test_shares_do_not_overflow(spark):
+    many = 10**13
+    got = spark.range(1).select(divergence._share(_long(many), _long(3 * many)), divergence._share(_long(0), _long(0)))
+    assert tuple(got.first()) == (1 + 10**9 * (many + 1) // (3 * many), 1)
+
+
+def _long(n):
+    from pyspark.sql import functions as F
+
+    return F.lit(n).cast("long")
+
+
+def test_registered_query_against_sql(spark, tmp_path):
+    documents(spark, _corpus(120) + ROWS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in queries.op12_divergence(spark, str(tmp_path)).collect())
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(duck.execute(divergence.AUDIT_SQL).fetchall())
