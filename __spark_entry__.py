@@ -17,7 +17,7 @@ from barloom import schemas  # noqa: E402
 from barloom.functions import metrics  # noqa: E402
 from barloom.operators import attach_company  # noqa: E402
 from barloom.sinks import catalog, lake, scratch_dir  # noqa: E402
-from barloom.sources import files  # noqa: E402
+from barloom.sources import Delivery, all_rejects, deliver_prices, files  # noqa: E402
 from derived_inputs import landed  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +157,60 @@ def _quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_pipeline(spark, sf_dir, read).quality
 
 
+def _malformed(df: DataFrame) -> DataFrame:
+    """Prices as text, some of whose dates, closes and volumes are none; some opens are blank."""
+    lots = F.col("Volume")
+    date = F.date_format("Date", DELIVERED_DATES)
+    return df.withColumns(
+        {
+            "Date": F.when(lots % 23 == 0, F.concat(F.lit("no "), date)).otherwise(date),
+            "Open": F.when(lots % 7 != 0, F.col("Open").cast("string")),
+            "Close": F.when(lots % 13 == 0, F.concat(F.lit("n/a "), lots)).otherwise(F.col("Close").cast("string")),
+            "Volume": F.when(lots % 11 == 0, F.concat(lots, F.lit(" pcs"))).otherwise(lots.cast("string")),
+        }
+    )
+
+
+def _malformed_prices(spark: SparkSession, sf_dir: str) -> Delivery:
+    root = scratch_dir(spark, "delivery")
+    _deliver(_malformed(landed(spark, sf_dir, "prices")), root, "shareprices", files.VARIANT_PRICES)
+    stage = scratch_dir(spark, "delivered")
+    return deliver_prices(spark, root, date_format=DELIVERED_DATES, stage=stage)
+
+
+def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _malformed_prices(spark, sf_dir).rejects.select("table", "column", "value", "reason")
+
+
+def _csv_rejects_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _malformed_prices(spark, sf_dir).rows.withColumnRenamed("Date", "Delivered_Date")
+    return rows.withColumn("Volume", F.col("Volume").cast("double"))
+
+
+def _pipeline_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts of a run over deliveries with malformed numbers and dates."""
+    root = scratch_dir(spark, "delivery")
+    number = F.substring("Ticker", 2, 12).cast("long")
+    for name, df in zip(STATEMENTS, _statements(spark, sf_dir)):
+        if name == "income":
+            unknown = F.when(number % 9 == 0, "unknown").otherwise(F.col("Revenue").cast("string"))
+            df = df.withColumn("Revenue", unknown)
+        _deliver(df, root, name, files.VARIANT_STATEMENTS)
+    prices = _malformed(landed(spark, sf_dir, "prices"))
+    _deliver(prices, root, "shareprices", files.VARIANT_PRICES)
+    found = barloom.plans.pipeline.deliveries(spark, root, date_format=DELIVERED_DATES)
+    location = scratch_dir(spark, "warehouse")
+    loaded = barloom.run_pipeline(
+        spark,
+        scratch_dir(spark, "lake"),
+        "scratch_" + location.rsplit("-", 1)[1],
+        **{name: d.rows for name, d in found.items()},
+        location=location,
+        rejects=all_rejects(found),
+    )
+    return loaded.quality
+
+
 def _all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statements with a column that no schema declares, and that they share."""
     root = scratch_dir(spark, "delivery")
@@ -375,6 +429,9 @@ def library_queries() -> dict[str, Query]:
         "annual_several_reports": _several_reports,
         "company_lookup_partial": _some_companies,
         "quality_rejects": _quality_rejects,
+        "csv_rejects": _csv_rejects,
+        "csv_rejects_rows": _csv_rejects_rows,
+        "pipeline_rejects": _pipeline_rejects,
         "csv_statements_all_columns": _all_columns,
         "raw_headers_declared": _raw_headers_declared,
         "raw_roundtrip": _raw_roundtrip,

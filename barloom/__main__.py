@@ -48,12 +48,7 @@ def main(argv: list[str] | None = None) -> None:
             given = {
                 "root": args.source, "market": args.market, "date_format": args.date_format,
             }
-            statements = {
-                name: files.read_statement(spark, table=name, **given)
-                for name in schemas.STATEMENTS
-            }
-            prices = files.read_prices(spark, **given)
-            pipeline.extract(args.lake, **statements, prices=prices)
+            pipeline.extract_deliveries(args.lake, pipeline.deliveries(spark, **given))
         modes = {"transform": [getattr(args, "mode", None)], "pipeline": pipeline.PARTITION_KEYS}
         for mode in modes.get(args.step, []):
             pipeline.run_transform(spark, args.lake, mode, companies)

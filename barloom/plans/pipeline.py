@@ -18,12 +18,15 @@ from barloom.plans.fundamentals import enrich_fundamentals, stock_fundamentals
 from barloom.plans.prices import SMA_ROWS, enrich_prices, stock_prices
 from barloom.plans.quality import quality_summary
 from barloom.plans.statements import merge_statements
+from barloom.scratch import path_exists, scratch_dir
 from barloom.sinks import catalog, lake as lake_sink
 from barloom.sources import files
+from barloom.sources.rejects import REJECTS, Delivery, all_rejects, deliver_prices, deliver_statement
 
 # Names of tables and modes.
 FUNDAMENTALS = "fundamentals"
 PRICES = "prices"
+REJECTED = "rejects"
 PARTITION_KEYS = {FUNDAMENTALS: ("Year",), PRICES: ("Year", "Month")}
 
 
@@ -55,9 +58,13 @@ def extract(
     balance: DataFrame,
     cashflow: DataFrame,
     prices: DataFrame,
+    rejects: DataFrame | None = None,
     **merge_options,
 ) -> None:
-    """Stage the statements, merge them, and land both raw tables."""
+    """Stage the statements, merge them, and land both raw tables and the rejects."""
+    if rejects is None:
+        rejects = income.sparkSession.createDataFrame([], REJECTS)
+    lake_sink.write_raw(rejects, lake, REJECTED)
     delivered = {"income": income, "balance": balance, "cashflow": cashflow}
     staged = stage(income.sparkSession, lake, delivered)
     merged = merge_statements(**staged, **merge_options)
@@ -65,6 +72,22 @@ def extract(
     lake_sink.write_raw(prices, lake, PRICES)
 
 
+def extract_deliveries(lake: str, deliveries: Mapping[str, Delivery], **merge_options) -> None:
+    """:func:`extract` of ``income``, ``balance``, ``cashflow`` and ``prices`` with their rejects."""
+    rows = {name: d.rows for name, d in deliveries.items()}
+    extract(lake, **rows, rejects=all_rejects(deliveries), **merge_options)
+
+
+def deliveries(spark: SparkSession, root: str, **options) -> dict[str, Delivery]:
+    """The four tables delivered below ``root``; their text is parsed once, into scratch."""
+    staged = scratch_dir(spark, "delivered")
+    found = {
+        name: deliver_statement(spark, root, name, stage=f"{staged}/{name}", **options)
+        for name in schemas.STATEMENTS
+    }
+    return {**found, PRICES: deliver_prices(spark, root, stage=f"{staged}/{PRICES}", **options)}
+
+
 def run_transform(
     spark: SparkSession,
     lake: str,
@@ -115,7 +138,13 @@ def load(
     catalog.save_table(stock_fundamentals(external[FUNDAMENTALS]), fundamentals, cluster=False)
     catalog.save_table(stock_prices(external[PRICES]), prices, cluster=False)
     views = create_views(spark, database, fundamentals, prices)
-    quality = quality_summary(spark.table(fundamentals), spark.table(prices), external[PRICES])
+    rejects = lake_sink.raw_path(lake, REJECTED)
+    quality = quality_summary(
+        spark.table(fundamentals),
+        spark.table(prices),
+        external[PRICES],
+        rejects=spark.read.parquet(rejects) if path_exists(spark, rejects) else None,
+    )
     return Loaded(fundamentals, prices, views, quality)
 
 
@@ -143,10 +172,11 @@ def run_pipeline(
     prices: DataFrame,
     companies: DataFrame | None = None,
     location: str | None = None,
+    rejects: DataFrame | None = None,
     **merge_options,
 ) -> Loaded:
     """Extract, transform and load in one Spark application."""
-    extract(lake, income, balance, cashflow, prices, **merge_options)
+    extract(lake, income, balance, cashflow, prices, rejects, **merge_options)
     run_transform(spark, lake, FUNDAMENTALS, companies)
     run_transform(spark, lake, PRICES)
     return load(spark, lake, database, location)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.sources.rejects import reject_counts
+
 # Names of the checks.
 FUNDAMENTALS_ROWS = "Fundamentals row count"
 PRICES_ROWS = "Prices row count"
@@ -18,11 +20,13 @@ def quality_summary(
     prices: DataFrame,
     prices_external: DataFrame | None = None,
     approximate: bool = False,
+    rejects: DataFrame | None = None,
 ) -> DataFrame:
     """One row ``(check, count)`` per check, from one pass over each table.
 
     ``approximate`` replaces the exact distinct counts by sketches. With
-    ``prices_external`` the dates that are present but no dates are counted too.
+    ``prices_external`` the dates that are present but no dates are counted too. With
+    ``rejects`` of a delivery there is one more check per table, column and reason found.
     """
     checks = [
         _counts(fundamentals, FUNDAMENTALS_ROWS, FUNDAMENTALS_TICKERS, approximate),
@@ -31,9 +35,18 @@ def quality_summary(
     summary = checks[0].unionByName(checks[1])
     if prices_external is not None:
         summary = summary.unionByName(rejected_dates(prices_external))
+    if rejects is not None:
+        summary = summary.unionByName(rejected_cells(rejects))
     return summary
 
 
+def rejected_cells(rejects: DataFrame) -> DataFrame:
+    """A check ``Rejected <table>.<column>: <reason>`` for all that was rejected."""
+    place = F.concat_ws(".", "table", "column")
+    name = F.concat(F.lit("Rejected "), place, F.lit(": "), "reason")
+    return reject_counts(rejects).select(name.alias("check"), "count")
+
+
 def rejected_dates(prices_external: DataFrame) -> DataFrame:
     date = F.col("Date")
     lost = date.isNotNull() & date.try_cast("date").isNull()

@@ -26,6 +26,11 @@ def scratch_dir(spark: SparkSession, label: str = "run") -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="barloom-")

@@ -9,8 +9,19 @@ from barloom.sources.files import (
     read_prices,
     read_statement,
 )
+from barloom.sources.rejects import (
+    Delivery,
+    all_rejects,
+    deliver_prices,
+    deliver_statement,
+    reject_counts,
+)
 
 __all__ = [
+    "Delivery",
+    "all_rejects",
+    "deliver_prices",
+    "deliver_statement",
     "read_balance",
     "read_cashflow",
     "read_csv",
@@ -18,4 +29,5 @@ __all__ = [
     "read_parquet",
     "read_prices",
     "read_statement",
+    "reject_counts",
 ]

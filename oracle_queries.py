@@ -161,6 +161,35 @@ _REJECTED_DELIVERY = """
 union all select 'Rejected price dates', count(*) from prices where Date is not null and Volume % 23 = 0
 """
 
+# Cells of the delivered prices that cannot be read, by what the delivery did to them.
+_REJECTED_CELLS = """
+select 'prices' as "table", 'Date' as "column", 'no ' || strftime(Date, '%d/%m/%Y') as "value", 'not a date' as reason
+from prices where Volume % 23 = 0
+union all select 'prices', 'Close', 'n/a ' || Volume, 'not a double' from prices where Volume % 13 = 0
+union all select 'prices', 'Volume', Volume || ' pcs', 'not a bigint' from prices where Volume % 11 = 0
+"""
+_READ_PRICES = """
+select Ticker, case when Volume % 23 = 0 then 'no ' || strftime(Date, '%d/%m/%Y') else cast(Date as varchar) end as Delivered_Date,
+       case when Volume % 7 <> 0 then Open end as Open, High, Low,
+       case when Volume % 13 <> 0 then Close end as Close, Adj_Close,
+       cast(case when Volume % 11 <> 0 then Volume end as double) as Volume
+from prices
+"""
+_REJECTED_RUN = """
+select 'Fundamentals row count' as "check", count(*) as "count" from stock_fundamentals
+where cast(substr(Ticker, 2) as bigint) % 9 <> 0
+union all select 'Prices row count', count(*) from prices where Close > 0 and Volume % 13 <> 0
+union all select 'Unique tickers in fundamentals', count(distinct Ticker) from stock_fundamentals
+where cast(substr(Ticker, 2) as bigint) % 9 <> 0
+union all select 'Unique tickers in prices', count(distinct Ticker) from prices where Close > 0 and Volume % 13 <> 0
+union all select 'Rejected price dates', count(*) from prices where Volume % 23 = 0
+union all select 'Rejected prices.Date: not a date', count(*) from prices where Volume % 23 = 0 having count(*) > 0
+union all select 'Rejected prices.Close: not a double', count(*) from prices where Volume % 13 = 0 having count(*) > 0
+union all select 'Rejected prices.Volume: not a bigint', count(*) from prices where Volume % 11 = 0 having count(*) > 0
+union all select 'Rejected income.Revenue: not a double', count(*) from income
+where cast(substr(Ticker, 2) as bigint) % 9 = 0 having count(*) > 0
+"""
+
 _ALL_COLUMNS = """
 select coalesce(i.Ticker, b.Ticker, c.Ticker) as Ticker,
        coalesce(i.Report_Date, b.Report_Date, c.Report_Date) as Report_Date,
@@ -314,6 +343,9 @@ def oracle_sql() -> dict[str, str]:
         "quality_rejects": _with(
             ("stock_fundamentals", "stock_prices"), _CHECKS + _REJECTED_DELIVERY
         ),
+        "csv_rejects": _with(("prices",), _REJECTED_CELLS),
+        "csv_rejects_rows": _with(("prices",), _READ_PRICES),
+        "pipeline_rejects": _with(("stock_fundamentals", "prices", "income"), _REJECTED_RUN),
         "csv_statements_all_columns": _with(("income", "balance", "cashflow"), _ALL_COLUMNS),
         "raw_headers_declared": prices,
         "raw_roundtrip": prices,
