@@ -16,7 +16,7 @@ import oracle_queries  # noqa: E402
 from barloom import schemas  # noqa: E402
 from barloom.functions import metrics  # noqa: E402
 from barloom.operators import attach_company  # noqa: E402
-from barloom.sinks import catalog, lake, scratch_dir  # noqa: E402
+from barloom.sinks import catalog, lake, replace_table, scratch_dir  # noqa: E402
 from barloom.sources import Delivery, all_rejects, deliver_prices, files  # noqa: E402
 from derived_inputs import landed  # noqa: E402
 
@@ -314,6 +314,17 @@ def _saved_table_and_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(catalog.create_view(spark, f"{database}.annual_company_metrics", query))
 
 
+def _replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader who started before two replacements, and one who comes after them."""
+    name = f"{_scratch_database(spark)}.stock_fundamentals"
+    rows = _fundamentals(spark, sf_dir)
+    before = replace_table(rows.where("Year < 1996"), name, keep=2)
+    replace_table(rows.where("Year >= 1996"), name, keep=2)
+    after = replace_table(rows, name, keep=2)
+    seen = before.withColumn("Seen", F.lit("before")).union(after.withColumn("Seen", F.lit("after")))
+    return _rounded(seen.select("Ticker", "Year", "Revenue", "ROE", "Seen"))
+
+
 def _run_pipeline(
     spark: SparkSession, sf_dir: str, prices: DataFrame | None = None
 ) -> barloom.plans.pipeline.Loaded:
@@ -442,6 +453,7 @@ def library_queries() -> dict[str, Query]:
         "partitioned_roundtrip_month": _roundtrip_month,
         "external_auto_schema": _external_auto,
         "saved_table_and_view": _saved_table_and_view,
+        "replaced_table": _replaced_table,
         "stock_pipeline": lambda s, d: _run_pipeline(s, d).quality,
         "pipeline_top_performers": _pipeline_top,
     }

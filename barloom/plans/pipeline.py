@@ -20,6 +20,7 @@ from barloom.plans.quality import quality_summary
 from barloom.plans.statements import merge_statements
 from barloom.scratch import path_exists, scratch_dir
 from barloom.sinks import catalog, lake as lake_sink
+from barloom.sinks.versions import replace_table
 from barloom.sources import files
 from barloom.sources.rejects import REJECTS, Delivery, all_rejects, deliver_prices, deliver_statement
 
@@ -116,7 +117,11 @@ def load(
     location: str | None = None,
     key_typing: str = catalog.KEYS_AS_STRINGS,
 ) -> Loaded:
-    """Register the transformed files, save the served tables, create the views."""
+    """Register the transformed files, replace the served tables, create the views.
+
+    Readers of the served tables and views see the rows of the last load or of this one
+    at any time.
+    """
     catalog.create_database(spark, database, location)
     external = {
         table: catalog.register_external(
@@ -135,8 +140,8 @@ def load(
     fundamentals = f"{database}.stock_fundamentals"
     prices = f"{database}.stock_prices"
     # The external tables lie in directories by year already: nothing has to move.
-    catalog.save_table(stock_fundamentals(external[FUNDAMENTALS]), fundamentals, cluster=False)
-    catalog.save_table(stock_prices(external[PRICES]), prices, cluster=False)
+    replace_table(stock_fundamentals(external[FUNDAMENTALS]), fundamentals, cluster=False)
+    replace_table(stock_prices(external[PRICES]), prices, cluster=False)
     views = create_views(spark, database, fundamentals, prices)
     rejects = lake_sink.raw_path(lake, REJECTED)
     quality = quality_summary(

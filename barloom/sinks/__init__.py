@@ -15,19 +15,23 @@ from barloom.sinks.lake import (
     write_partitioned,
     write_raw,
 )
+from barloom.sinks.versions import drop_version, replace_table, versions
 from barloom.scratch import scratch_dir
 
 __all__ = [
     "create_database",
     "create_view",
     "drop_table",
+    "drop_version",
     "export_csv",
     "raw_path",
     "register_external",
+    "replace_table",
     "row_count",
     "save_table",
     "scratch_dir",
     "transformed_path",
+    "versions",
     "write_partitioned",
     "write_raw",
 ]

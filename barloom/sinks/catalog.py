@@ -80,8 +80,14 @@ def save_table(
 
 
 def create_view(spark: SparkSession, name: str, query: str) -> DataFrame:
-    """Create or replace a catalog view on a SQL query over saved tables."""
-    spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} AS {query}")
+    """Create or replace a catalog view on a SQL query over saved tables.
+
+    A view that exists is altered: replacing it would drop it first, and readers could
+    find none.
+    """
+    exists = spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
+    verb = "ALTER VIEW" if exists else "CREATE OR REPLACE VIEW"
+    spark.sql(f"{verb} {quoted(name)} AS {query}")
     return spark.table(name)
 
 

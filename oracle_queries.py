@@ -161,6 +161,10 @@ _REJECTED_DELIVERY = """
 union all select 'Rejected price dates', count(*) from prices where Date is not null and Volume % 23 = 0
 """
 
+_VERSIONS = """
+select Ticker, Year, Revenue, round(ROE, 6) as ROE, 'before' as Seen from stock_fundamentals where Year < 1996
+union all select Ticker, Year, Revenue, round(ROE, 6), 'after' from stock_fundamentals
+"""
 # Cells of the delivered prices that cannot be read, by what the delivery did to them.
 _REJECTED_CELLS = """
 select 'prices' as "table", 'Date' as "column", 'no ' || strftime(Date, '%d/%m/%Y') as "value", 'not a date' as reason
@@ -358,6 +362,7 @@ def oracle_sql() -> dict[str, str]:
         "partitioned_roundtrip_month": _select("windows", _STOCK_PRICE_COLUMNS),
         "external_auto_schema": _select("windows", _WINDOW_COLUMNS),
         "saved_table_and_view": _select("annual", _ANNUAL_COLUMNS),
+        "replaced_table": _with(("stock_fundamentals",), _VERSIONS),
         "stock_pipeline": _with(("stock_fundamentals", "stock_prices"), _CHECKS + _REJECTED),
         "pipeline_top_performers": _select("top", _TOP_COLUMNS),
     }
