@@ -223,7 +223,24 @@ def _all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return barloom.merge_statements(**staged)
 
 
+def _enrich_saved(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    name = f"{_scratch_database(spark)}.prices"
+    barloom.save_prices(landed(spark, sf_dir, "prices"), name, **options)
+    return _rounded(barloom.enrich_saved_prices(spark, name, **options))
+
+
+def _merge_saved(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """The merge of statements with NULL and repeated keys that lie alike."""
+    database = _scratch_database(spark)
+    barloom.save_statements(*_statements_repeated(spark, sf_dir), database=database, **options)
+    return barloom.merge_saved_statements(spark, database, **options)
+
+
 def _repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return barloom.merge_statements(*_statements_repeated(spark, sf_dir))
+
+
+def _statements_repeated(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Statements with NULL tickers and dates and with keys that occur several times."""
     changed = []
     for df in _statements(spark, sf_dir):
@@ -231,7 +248,7 @@ def _repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         nothing = {"Ticker": F.lit(None).cast("string"), "Report_Date": F.lit(None).cast("date")}
         blank = df.where(number <= 3).withColumns(nothing)
         changed.append(df.union(df.where(number % 5 == 0)).union(blank))
-    return barloom.merge_statements(*changed)
+    return changed
 
 
 def _several_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,6 +454,10 @@ def library_queries() -> dict[str, Query]:
         "enrich_prices_split": lambda s, d: _rounded(
             barloom.enrich_prices(landed(s, d, "prices"), hot_rows=40)
         ),
+        "enrich_prices_saved": _enrich_saved,
+        "enrich_prices_saved_split": lambda s, d: _enrich_saved(s, d, hot_rows=1_300),
+        "merge_statements_saved": _merge_saved,
+        "merge_statements_saved_split": lambda s, d: _merge_saved(s, d, hot_rows=1),
         "annual_several_reports": _several_reports,
         "company_lookup_partial": _some_companies,
         "quality_rejects": _quality_rejects,

@@ -8,7 +8,14 @@ from barloom.plans.pipeline import (
     run_pipeline,
     run_transform,
 )
-from barloom.plans.prices import daily_return, enrich_prices, moving_average, stock_prices
+from barloom.plans.prices import (
+    daily_return,
+    enrich_prices,
+    enrich_saved_prices,
+    moving_average,
+    save_prices,
+    stock_prices,
+)
 from barloom.plans.quality import quality_summary, rejected_dates
 from barloom.plans.reports import (
     annual_company_metrics,
@@ -18,7 +25,7 @@ from barloom.plans.reports import (
     ticker_score,
     top_performers,
 )
-from barloom.plans.statements import merge_statements
+from barloom.plans.statements import merge_saved_statements, merge_statements, save_statements
 
 __all__ = [
     "annual_company_metrics",
@@ -26,9 +33,11 @@ __all__ = [
     "daily_return",
     "enrich_fundamentals",
     "enrich_prices",
+    "enrich_saved_prices",
     "extract",
     "latest_year",
     "load",
+    "merge_saved_statements",
     "merge_statements",
     "monthly_price_stats",
     "moving_average",
@@ -37,6 +46,8 @@ __all__ = [
     "rejected_dates",
     "run_pipeline",
     "run_transform",
+    "save_prices",
+    "save_statements",
     "stock_fundamentals",
     "stock_prices",
     "ticker_score",

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom import schemas
 from barloom.functions import metrics
 from barloom.functions.headers import clean_headers
 from barloom.functions.projection import project
-from barloom.operators.history import over_history
+from barloom.operators.history import Measures, over_history
+from barloom.operators.saved import over_saved_history, save_history
 from barloom.operators.skew import HOT_ROWS
 
 SMA_ROWS = 20
@@ -52,15 +53,28 @@ def enrich_prices(raw: DataFrame, n: int = SMA_ROWS, hot_rows: int | None = HOT_
     """
     _check_rows(n)
     df = clean_headers(raw)
-    windows = over_history(
-        df,
-        lambda w: {
-            f"SMA_{n}": _average(w, "Close", n),
-            "Daily_Return": _return(w, "Close"),
-        },
-        depth=max(n - 1, 1),
-        hot_rows=hot_rows,
-    )
+    return _dated(over_history(df, _price_windows(n), depth=max(n - 1, 1), hot_rows=hot_rows))
+
+
+def save_prices(raw: DataFrame, name: str, buckets: int | None = None, hot_rows: int | None = HOT_ROWS) -> None:
+    """Save raw prices by ticker, sorted by date, for :func:`enrich_saved_prices`."""
+    save_history(clean_headers(raw), name, buckets=buckets, hot_rows=hot_rows)
+
+
+def enrich_saved_prices(
+    spark: SparkSession, name: str, n: int = SMA_ROWS, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """:func:`enrich_prices` of saved prices, which moves and sorts nothing."""
+    _check_rows(n)
+    windows = over_saved_history(spark, name, _price_windows(n), max(n - 1, 1), hot_rows=hot_rows)
+    return _dated(windows)
+
+
+def _price_windows(n: int) -> Measures:
+    return lambda w: {f"SMA_{n}": _average(w, "Close", n), "Daily_Return": _return(w, "Close")}
+
+
+def _dated(windows: DataFrame) -> DataFrame:
     return windows.withColumns(
         {
             "Volume_Millions": metrics.volume_millions(),

@@ -1,5 +1,6 @@
 """Writers and catalog objects."""
 
+from barloom.sinks.buckets import save_bucketed, trust_order
 from barloom.sinks.catalog import (
     create_database,
     create_view,
@@ -28,9 +29,11 @@ __all__ = [
     "register_external",
     "replace_table",
     "row_count",
+    "save_bucketed",
     "save_table",
     "scratch_dir",
     "transformed_path",
+    "trust_order",
     "versions",
     "write_partitioned",
     "write_raw",

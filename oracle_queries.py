@@ -340,6 +340,10 @@ def oracle_sql() -> dict[str, str]:
         "merge_statements_split": merged,
         "merge_statements_repeated_keys": _repeated_keys(),
         "enrich_prices_split": _select("windows", _WINDOW_COLUMNS),
+        "enrich_prices_saved": _select("windows", _WINDOW_COLUMNS),
+        "enrich_prices_saved_split": _select("windows", _WINDOW_COLUMNS),
+        "merge_statements_saved": _repeated_keys(),
+        "merge_statements_saved_split": _repeated_keys(),
         "annual_several_reports": _select("annual", _ANNUAL_COLUMNS).replace(
             "from stock_fundamentals group by", f"from ({_TWO_REPORTS.strip()}) group by"
         ),
