@@ -94,32 +94,18 @@ def _rows(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.R
 
 
 def term_counts(
-    docs: DataFrame,
-    text_col: str = "text",
-    lang_col: str = "lang",
-    source_col: str = "source",
-    least: int = LEAST_DOCS,
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source"
 ) -> DataFrame:
-    """``lang``, ``source``, ``term``, ``n``, ``n_lang`` and ``head`` of the kept terms.
+    """``lang``, ``source``, ``term``, ``n`` (how often) and ``docs`` (in how many documents).
 
-    ``n_lang`` is how often the language has the term, ``head`` marks one row of each kept
-    term of a language. Every language and source that occurs also has a row of the empty
-    term, with ``n`` 0. The rows are shuffled once, by language and term.
+    Every language and source that occurs also has a row of the empty term.
     """
     blank = lambda c: F.coalesce(named(c).cast("string"), F.lit(""))
     texts = docs.select(
         blank(lang_col).alias("lang"), blank(source_col).alias("source"), blank(text_col).cast("binary").alias("text")
     )
-    counted = map_arrow(texts, _count(HELD_TERMS), _COUNTS).repartition("lang", "term")
-    sums = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    kept = (
-        sums.groupBy("lang", "term")
-        .agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("docs_lang"), F.min("source").alias("least"))
-        .where((F.col("docs_lang") >= least) | (F.col("term") == ""))
-    )
-    return sums.join(kept, ["lang", "term"]).select(
-        "lang", "source", "term", "n", "n_lang", (F.col("source") == F.col("least")).alias("head")
-    )
+    counted = map_arrow(texts, _count(HELD_TERMS), _COUNTS)
+    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def _share(n: Column, total: Column) -> Column:
@@ -154,14 +140,26 @@ def audit(
     are as many as the result asks for. The numbers of the sources of a language meet in
     one task, one row each.
     """
-    kept = materialize(term_counts(docs, text_col, lang_col, source_col, least), "terms")
-    real = F.col("term") != ""
-    langs = kept.groupBy("lang").agg(
-        F.sum("n").alias("lang_total"), F.count_if(real & F.col("head")).alias("kept")
+    counts = materialize(term_counts(docs, text_col, lang_col, source_col), "counts")
+    vocabulary = (
+        counts.where("term <> ''")
+        .groupBy("lang", "term")
+        .agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("docs"))
+        .where(F.col("docs") >= least)
+    )
+    vocabulary = materialize(vocabulary.drop("docs"), "vocabulary")
+    kept = materialize(counts.drop("docs").join(vocabulary, ["lang", "term"]), "terms")
+    langs = vocabulary.groupBy("lang").agg(F.sum("n_lang").alias("lang_total"), F.count("*").alias("kept"))
+    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    sizes = (
+        counts.where("term = ''")
+        .select("lang", "source")
+        .join(totals, ["lang", "source"], "left")
+        .join(langs, "lang", "left")
+        .fillna(0, ["total", "lang_total", "kept"])
     )
-    sizes = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
-    groups = sizes.join(langs, "lang").select(
+    groups = sizes.select(
         "lang",
         "source",
         number.alias("at"),
@@ -171,8 +169,7 @@ def audit(
     )
     groups = materialize(groups.withColumn("absent", _share(F.lit(0).cast("long"), F.col("total"))), "groups")
     shares = (
-        kept.where(real)
-        .join(groups, ["lang", "source"])
+        kept.join(groups, ["lang", "source"])
         .withColumn("p", _share(F.col("n"), F.col("total")))
         .withColumn("q", _share(F.col("n_lang"), F.col("lang_total")))
     )
