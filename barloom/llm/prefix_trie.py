@@ -372,7 +372,8 @@ def prefix_trie(rows: DataFrame, shards: int | None = None) -> DataFrame:
     found = materialize(map_arrow(laid, _walk(skeleton, PIECE), _OUT), "nodes")
 
     spanning = _reduce(found)
-    parents = spanning.select("skeleton", F.col("conv_id").alias("over"))
+    # The skeleton has at most shards times DEEP nodes, so this is safe to broadcast.
+    parents = F.broadcast(spanning.select("skeleton", F.col("conv_id").alias("over")))
     inside = found.where(F.col("kind") == _NODE).join(parents, "skeleton", "left")
     names = ["conv_id", "depth", "parent", "n", "children", "leaves", "saved", "ends"]
     nodes = inside.withColumn("parent", F.coalesce("parent", "over")).select(*names).unionByName(spanning.select(*names))
