@@ -240,6 +240,19 @@ def _repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return barloom.merge_statements(*_statements_repeated(spark, sf_dir))
 
 
+def _incremental_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries, the last of which is late, and the second of which comes twice."""
+    prices = landed(spark, sf_dir, "prices")
+    lake_dir = scratch_dir(spark, "lake")
+    is_late = F.col("Volume") % 10 == 3
+    early = F.col("Date") < "1995-06-20"
+    second = prices.where(~early & ~is_late)
+    for delivery in (prices.where(early & ~is_late), second, prices.where(is_late), second):
+        path = barloom.add_prices(spark, lake_dir, delivery)
+    back = spark.read.parquet(path).withColumn("Date", F.col("Date").cast("date"))
+    return _rounded(back.withColumns({k: F.col(k).cast("long") for k in ("Year", "Month")}))
+
+
 def _statements_repeated(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Statements with NULL tickers and dates and with keys that occur several times."""
     changed = []
@@ -456,6 +469,7 @@ def library_queries() -> dict[str, Query]:
         ),
         "enrich_prices_saved": _enrich_saved,
         "enrich_prices_saved_split": lambda s, d: _enrich_saved(s, d, hot_rows=1_300),
+        "incremental_prices": _incremental_prices,
         "merge_statements_saved": _merge_saved,
         "merge_statements_saved_split": lambda s, d: _merge_saved(s, d, hot_rows=1),
         "annual_several_reports": _several_reports,

@@ -1,14 +1,15 @@
-"""Command line: ``python -m barloom {transform,load,pipeline} ...``."""
+"""Command line: ``python -m barloom {transform,load,pipeline,add} ...``."""
 
 from __future__ import annotations
 
 import argparse
 
 from barloom import schemas
-from barloom.plans import pipeline
+from barloom.plans import add_prices, pipeline
+from barloom.scratch import scratch_dir
 from barloom.session import get_session
 from barloom.sinks.catalog import KEYS_AS_STRINGS, KEYS_TYPED
-from barloom.sources import files
+from barloom.sources import deliver_prices, files, reject_counts
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -20,11 +21,13 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
     load = steps.add_parser("load", help="register tables and views")
     whole = steps.add_parser("pipeline", help="extract, transform and load")
-    whole.add_argument("--source", required=True, help="folder with the delivered CSV files")
-    whole.add_argument("--market", default=files.MARKET)
-    whole.add_argument("--date-format", default=files.DATE_FORMAT)
+    add = steps.add_parser("add", help="add delivered prices to the transformed table")
+    for step in (whole, add):
+        step.add_argument("--source", required=True, help="folder with the delivered CSV files")
+        step.add_argument("--market", default=files.MARKET)
+        step.add_argument("--date-format", default=files.DATE_FORMAT)
 
-    for step in (transform, load, whole):
+    for step in (transform, load, whole, add):
         step.add_argument("--lake", required=True, help="root URI of the data lake")
     for step in (transform, whole):
         step.add_argument("--companies", help="CSV with Ticker and Company Name")
@@ -49,6 +52,12 @@ def main(argv: list[str] | None = None) -> None:
                 "root": args.source, "market": args.market, "date_format": args.date_format,
             }
             pipeline.extract_deliveries(args.lake, pipeline.deliveries(spark, **given))
+        if args.step == "add":
+            given = {"market": args.market, "date_format": args.date_format}
+            stage = scratch_dir(spark, "delivered")
+            delivered = deliver_prices(spark, args.source, stage=stage, **given)
+            add_prices(spark, args.lake, delivered.rows)
+            reject_counts(delivered.rejects).show(truncate=False)
         modes = {"transform": [getattr(args, "mode", None)], "pipeline": pipeline.PARTITION_KEYS}
         for mode in modes.get(args.step, []):
             pipeline.run_transform(spark, args.lake, mode, companies)

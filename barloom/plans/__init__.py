@@ -1,6 +1,7 @@
 """Composite tables, reports and the batch pipeline."""
 
 from barloom.plans.fundamentals import enrich_fundamentals, stock_fundamentals
+from barloom.plans.incremental import add_prices
 from barloom.plans.pipeline import (
     create_views,
     extract,
@@ -28,6 +29,7 @@ from barloom.plans.reports import (
 from barloom.plans.statements import merge_saved_statements, merge_statements, save_statements
 
 __all__ = [
+    "add_prices",
     "annual_company_metrics",
     "create_views",
     "daily_return",

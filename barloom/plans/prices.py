@@ -53,7 +53,7 @@ def enrich_prices(raw: DataFrame, n: int = SMA_ROWS, hot_rows: int | None = HOT_
     """
     _check_rows(n)
     df = clean_headers(raw)
-    return _dated(over_history(df, _price_windows(n), depth=max(n - 1, 1), hot_rows=hot_rows))
+    return dated(over_history(df, price_windows(n), depth=max(n - 1, 1), hot_rows=hot_rows))
 
 
 def save_prices(raw: DataFrame, name: str, buckets: int | None = None, hot_rows: int | None = HOT_ROWS) -> None:
@@ -66,15 +66,17 @@ def enrich_saved_prices(
 ) -> DataFrame:
     """:func:`enrich_prices` of saved prices, which moves and sorts nothing."""
     _check_rows(n)
-    windows = over_saved_history(spark, name, _price_windows(n), max(n - 1, 1), hot_rows=hot_rows)
-    return _dated(windows)
+    windows = over_saved_history(spark, name, price_windows(n), max(n - 1, 1), hot_rows=hot_rows)
+    return dated(windows)
 
 
-def _price_windows(n: int) -> Measures:
+def price_windows(n: int) -> Measures:
+    """Moving average and return, as measures of one window."""
     return lambda w: {f"SMA_{n}": _average(w, "Close", n), "Daily_Return": _return(w, "Close")}
 
 
-def _dated(windows: DataFrame) -> DataFrame:
+def dated(windows: DataFrame) -> DataFrame:
+    """Rows with both measures, and the columns that need no other row."""
     return windows.withColumns(
         {
             "Volume_Millions": metrics.volume_millions(),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from barloom.functions.headers import clean_headers
 
@@ -50,3 +51,30 @@ def export_csv(df: DataFrame, path: str, sep: str = ",") -> str:
     writer = clean_headers(df).write.mode("overwrite").option("header", True)
     writer.option("sep", sep).csv(path)
     return path
+
+
+def write_version(df: DataFrame, path: str, keep: int = 1) -> str:
+    """Write ``df`` as the newest version below ``path``; ``keep`` earlier ones stay.
+
+    A version counts once it is whole, so ``df`` may read the one before.
+    """
+    spark = df.sparkSession
+    version = f"{path.rstrip('/')}/v{time.time_ns():020d}"
+    df.write.parquet(version)
+    for old in whole_versions(spark, path)[: -1 - keep]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(old)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return version
+
+
+def latest_version(spark: SparkSession, path: str) -> str | None:
+    found = whole_versions(spark, path)
+    return found[-1] if found else None
+
+
+def whole_versions(spark: SparkSession, path: str) -> list[str]:
+    """The versions below ``path`` whose write has ended, oldest first."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    marks = store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "v*/_SUCCESS")) or []
+    return sorted(mark.getPath().getParent().toString() for mark in marks)

@@ -342,6 +342,7 @@ def oracle_sql() -> dict[str, str]:
         "enrich_prices_split": _select("windows", _WINDOW_COLUMNS),
         "enrich_prices_saved": _select("windows", _WINDOW_COLUMNS),
         "enrich_prices_saved_split": _select("windows", _WINDOW_COLUMNS),
+        "incremental_prices": _select("windows", _WINDOW_COLUMNS),
         "merge_statements_saved": _repeated_keys(),
         "merge_statements_saved_split": _repeated_keys(),
         "annual_several_reports": _select("annual", _ANNUAL_COLUMNS).replace(

@@ -1,0 +1,163 @@
+import datetime as dt
+import os
+import random
+import subprocess
+import sys
+
+import pytest
+
+import barloom
+from barloom import schemas
+from barloom.plans import pipeline
+from barloom.sinks import lake
+from tests.helpers import rows, same
+
+START = dt.date(2023, 11, 20)
+
+
+def _data(tickers=5, days=90, seed=1):
+    rng = random.Random(seed)
+    data = []
+    for t in range(tickers):
+        for d in range(days):
+            if rng.random() < 0.8:
+                close = rng.choice([None, 0.0, rng.randrange(1, 99) / 4])
+                date = (START + dt.timedelta(d)).isoformat()
+                data.append((None if t == 4 else f"T{t}", date, 1.0, 2.0, 0.5, close, 1.0, rng.randrange(9)))
+    return data
+
+
+def _frame(spark, data):
+    return spark.createDataFrame(data, schemas.PRICES_RAW).repartition(3)
+
+
+def _table(spark, root):
+    return spark.read.parquet(lake.transformed_path(root, "prices"))
+
+
+def _full_run(spark, root, data, n=20):
+    lake.write_raw(_frame(spark, data), root, "prices")
+    barloom.run_transform(spark, root, "prices", n=n)
+    return _table(spark, root)
+
+
+def _equal(got, expected):
+    return same(rows(got.select(*sorted(got.columns))), rows(expected.select(*sorted(expected.columns))))
+
+
+def _files(root):
+    top = lake.transformed_path(root, "prices")
+    return {
+        os.path.relpath(os.path.join(d, f), top): os.stat(os.path.join(d, f)).st_mtime_ns
+        for d, _, names in os.walk(top)
+        for f in names
+        if f.endswith(".parquet")
+    }
+
+
+def test_deliveries_in_order_equal_one_run(spark, tmp_path):
+    data = _data()
+    cuts = ["2023-11-20", "2023-12-15", "2023-12-16", "2024-01-31", "2025-01-01"]
+    for a, b in zip(cuts, cuts[1:]):
+        barloom.add_prices(spark, str(tmp_path / "a"), _frame(spark, [r for r in data if a <= r[1] < b]))
+    assert _equal(_table(spark, str(tmp_path / "a")), _full_run(spark, str(tmp_path / "b"), data))
+
+
+@pytest.mark.parametrize("n", [1, 3])
+def test_late_and_repeated_rows(spark, tmp_path, n):
+    data = _data()
+    rng = random.Random(7)
+    late = [r for r in data if rng.random() < 0.1]
+    early = [r for r in data if r not in late]
+    for part in (early[::2], early[1::2], late, early[:40]):
+        barloom.add_prices(spark, str(tmp_path / "a"), _frame(spark, part), n=n)
+    assert _equal(_table(spark, str(tmp_path / "a")), _full_run(spark, str(tmp_path / "b"), data, n))
+
+
+def test_a_corrected_row_replaces_the_stored_one(spark, tmp_path):
+    data = _data(tickers=2)
+    corrected = [(*r[:5], 50.0, *r[6:]) for r in data[20:23]]
+    root = str(tmp_path / "a")
+    barloom.add_prices(spark, root, _frame(spark, data))
+    barloom.add_prices(spark, root, _frame(spark, corrected))
+    assert _equal(_table(spark, root), _full_run(spark, str(tmp_path / "b"), data[:20] + corrected + data[23:]))
+
+
+def test_files_of_untouched_months_stay(spark, tmp_path):
+    data, root = _data(), str(tmp_path / "a")
+    barloom.add_prices(spark, root, _frame(spark, [r for r in data if r[1] < "2024-01-10"]))
+    before = _files(root)
+    barloom.add_prices(spark, root, _frame(spark, [r for r in data if "2024-01-10" <= r[1] < "2024-02-01"]))
+    after = _files(root)
+    kept = {f: t for f, t in before.items() if "Month=1/" not in f}
+    assert len(kept) >= 2 and {f: t for f, t in after.items() if "Month=1/" not in f} == kept
+    assert not {f for f in after if "Month=1/" in f} & set(before)
+
+
+def test_new_rows_in_order_read_no_stored_history(spark, tmp_path, monkeypatch):
+    from barloom.plans import incremental
+
+    data, root = _data(), str(tmp_path / "a")
+    barloom.add_prices(spark, root, _frame(spark, [r for r in data if r[1] < "2024-01-10"]))
+    seen = []
+    pool = incremental._pool
+    monkeypatch.setattr(incremental, "_pool", lambda *a: (seen.append(pool(*a)), seen[0])[1])
+    barloom.add_prices(spark, root, _frame(spark, [r for r in data if r[1] >= "2024-01-10"]))
+    assert not [f for f in seen[0].inputFiles() if "/transformed/" in f]
+
+
+def test_a_table_of_a_full_run_can_be_added_to(spark, tmp_path):
+    data, root = _data(), str(tmp_path / "a")
+    _full_run(spark, root, [r for r in data if r[1] < "2024-01-10"])
+    barloom.add_prices(spark, root, _frame(spark, [r for r in data if r[1] >= "2024-01-10"]))
+    assert _equal(_table(spark, root), _full_run(spark, str(tmp_path / "b"), data))
+
+
+def test_dates_that_are_none(spark, tmp_path):
+    data = _data(tickers=3, days=30)
+    odd = [("T1", None, 1.0, 1.0, 1.0, 4.0, 1.0, 1), ("T2", "no date", 1.0, 1.0, 1.0, 5.0, 1.0, 1)]
+    root = str(tmp_path / "a")
+    for part in (data[:40] + odd[1:], data[40:], odd[:1]):
+        barloom.add_prices(spark, root, _frame(spark, part))
+    expected = _full_run(spark, str(tmp_path / "b"), data + odd)
+    assert _equal(_table(spark, root), expected)
+    assert expected.where("Year is null").count() == 2
+
+
+def test_hot_tickers_and_empty_deliveries(spark, tmp_path):
+    data, root = _data(tickers=2, days=200), str(tmp_path / "a")
+    for part in (data[:100], data[100:], []):
+        barloom.add_prices(spark, root, _frame(spark, part), hot_rows=30)
+    assert _equal(_table(spark, root), _full_run(spark, str(tmp_path / "b"), data))
+
+
+def test_command_line_adds_a_delivery(spark, tmp_path):
+    for k, text in enumerate(("A;02/01/2024;10\nA;03/01/2024;12\n", "A;04/01/2024;18\nA;x;1\n")):
+        source = tmp_path / f"s{k}"
+        source.mkdir()
+        (source / "us-shareprices-daily.csv").write_text("Ticker;Date;Close\n" + text)
+        run = subprocess.run(
+            [
+                sys.executable, "-m", "barloom", "add", "--source", str(source),
+                "--lake", str(tmp_path / "lake"), "--date-format", "dd/MM/yyyy",
+            ],
+            cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+            capture_output=True, text=True, timeout=240,
+        )
+        assert run.returncode == 0, run.stderr[-2000:]
+    assert "not a date" in run.stdout
+    got = _table(spark, str(tmp_path / "lake")).where("Year = 2024").orderBy("Date").collect()
+    assert [(r.Close, r.SMA_20) for r in got] == [(10.0, 10.0), (12.0, 11.0), (18.0, 40 / 3)]
+
+
+def test_versions_count_when_they_are_whole(spark, tmp_path):
+    path = str(tmp_path / "state")
+    assert lake.latest_version(spark, path) is None
+    first = lake.write_version(spark.range(3), path)
+    os.makedirs(f"{path}/v99999999999999999999/part")
+    assert lake.latest_version(spark, path).endswith(first.rsplit("/", 1)[1])
+    for k in range(3):
+        lake.write_version(spark.range(k), path, keep=1)
+    assert len(lake.whole_versions(spark, path)) == 2
+    assert spark.read.parquet(lake.latest_version(spark, path)).count() == 2
+    assert pipeline.PRICES == "prices"
