@@ -16,6 +16,7 @@ import oracle_queries  # noqa: E402
 from barloom import schemas  # noqa: E402
 from barloom.functions import metrics  # noqa: E402
 from barloom.operators import attach_company  # noqa: E402
+from barloom.plans import rollups  # noqa: E402
 from barloom.sinks import catalog, lake, replace_table, scratch_dir  # noqa: E402
 from barloom.sources import Delivery, all_rejects, deliver_prices, files  # noqa: E402
 from derived_inputs import landed  # noqa: E402
@@ -253,6 +254,52 @@ def _incremental_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(back.withColumns({k: F.col(k).cast("long") for k in ("Year", "Month")}))
 
 
+def _served_by_month(spark: SparkSession, df: DataFrame) -> DataFrame:
+    path = lake.write_partitioned(df, scratch_dir(spark, "lake"), ["Year", "Month"])
+    return spark.read.parquet(path)
+
+
+def _monthly_states(spark: SparkSession, sf_dir: str) -> str:
+    """States of prices that were served in two parts, the second of which corrects the first."""
+    served = _prices(spark, sf_dir)
+    path = scratch_dir(spark, "states")
+    wrong = served.where("Year <= 1996").withColumn("Low", F.when(F.col("Year") < 1996, F.col("Low")))
+    rollups.refresh(rollups.MONTHLY, _served_by_month(spark, wrong), path)
+    whole = _served_by_month(spark, served)
+    months = whole.where("Year >= 1996").select("Year", "Month").distinct().collect()
+    return rollups.refresh(rollups.MONTHLY, whole, path, [tuple(m) for m in months])
+
+
+def _annual_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    served = _fundamentals(spark, sf_dir)
+    path = lake.write_partitioned(served, scratch_dir(spark, "lake"), ["Year"])
+    states = scratch_dir(spark, "states")
+    rollups.refresh(rollups.ANNUAL, served.where("Year < 1995"), states)
+    table = spark.read.parquet(path)
+    years = [tuple(y) for y in table.where("Year >= 1995").select("Year").distinct().collect()]
+    rollups.refresh(rollups.ANNUAL, table, states, years)
+    return _rounded(barloom.report(spark, rollups.ANNUAL, states))
+
+
+def _yearly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States by month, merged at the coarser key."""
+    states = _monthly_states(spark, sf_dir)
+    return _rounded(barloom.report(spark, rollups.MONTHLY, states, ["Ticker", "Year"]))
+
+
+def _stored_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks from stored counts; estimates are compared with exact numbers."""
+    fundamentals, prices = _fundamentals(spark, sf_dir), _prices(spark, sf_dir)
+    stored = barloom.stored_quality(
+        spark,
+        rollups.refresh(rollups.FUNDAMENTALS_COUNTS, fundamentals, scratch_dir(spark, "states")),
+        rollups.refresh(rollups.PRICES_COUNTS, prices, scratch_dir(spark, "states")),
+    )
+    exact = barloom.quality_summary(fundamentals, prices).withColumnRenamed("count", "exact")
+    near = F.abs(F.col("count") - F.col("exact")) <= F.ceil(rollups.SKETCH_ERROR * F.col("exact"))
+    return stored.join(exact, "check").select("check", F.col("exact").alias("count"), near.alias("near"))
+
+
 def _statements_repeated(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Statements with NULL tickers and dates and with keys that occur several times."""
     changed = []
@@ -470,6 +517,12 @@ def library_queries() -> dict[str, Query]:
         "enrich_prices_saved": _enrich_saved,
         "enrich_prices_saved_split": lambda s, d: _enrich_saved(s, d, hot_rows=1_300),
         "incremental_prices": _incremental_prices,
+        "monthly_price_stats_stored": lambda s, d: _rounded(
+            barloom.report(s, rollups.MONTHLY, _monthly_states(s, d))
+        ),
+        "annual_company_metrics_stored": _annual_states,
+        "yearly_price_stats_stored": _yearly_prices,
+        "quality_stored": _stored_quality,
         "merge_statements_saved": _merge_saved,
         "merge_statements_saved_split": lambda s, d: _merge_saved(s, d, hot_rows=1),
         "annual_several_reports": _several_reports,

@@ -26,9 +26,11 @@ from barloom.plans.reports import (
     ticker_score,
     top_performers,
 )
+from barloom.plans.rollups import Rollup, refresh, report, stored_quality
 from barloom.plans.statements import merge_saved_statements, merge_statements, save_statements
 
 __all__ = [
+    "Rollup",
     "add_prices",
     "annual_company_metrics",
     "create_views",
@@ -45,13 +47,16 @@ __all__ = [
     "moving_average",
     "newest_first",
     "quality_summary",
+    "refresh",
     "rejected_dates",
+    "report",
     "run_pipeline",
     "run_transform",
     "save_prices",
     "save_statements",
     "stock_fundamentals",
     "stock_prices",
+    "stored_quality",
     "ticker_score",
     "top_performers",
 ]

@@ -343,6 +343,17 @@ def oracle_sql() -> dict[str, str]:
         "enrich_prices_saved": _select("windows", _WINDOW_COLUMNS),
         "enrich_prices_saved_split": _select("windows", _WINDOW_COLUMNS),
         "incremental_prices": _select("windows", _WINDOW_COLUMNS),
+        "monthly_price_stats_stored": _select("monthly", _MONTHLY_COLUMNS),
+        "annual_company_metrics_stored": _select("annual", _ANNUAL_COLUMNS),
+        "yearly_price_stats_stored": _select(
+            "monthly", tuple(c for c in _MONTHLY_COLUMNS if c != "Month")
+        ).replace("select Ticker, Year, Month, count(*)", "select Ticker, Year, count(*)").replace(
+            "group by Ticker, Year, Month", "group by Ticker, Year"
+        ),
+        "quality_stored": _with(
+            ("stock_fundamentals", "stock_prices"),
+            f'select "check", "count", true as near from ({_CHECKS.strip()})',
+        ),
         "merge_statements_saved": _repeated_keys(),
         "merge_statements_saved_split": _repeated_keys(),
         "annual_several_reports": _select("annual", _ANNUAL_COLUMNS).replace(
