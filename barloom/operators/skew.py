@@ -19,7 +19,10 @@ from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
 MOST_KEYS = 10_000
-_CLASSES = 65_536
+# Sketches: keys are dealt to classes by hash, and each class tracks so many of its keys.
+_CLASSES = 64
+_TRACKED = 4_096
+_REPORTED = 1_024
 
 TABLE = "_table"
 PARTS = "_parts"
@@ -33,29 +36,29 @@ def hot_keys(
     ``hot_rows`` None says that no key is hot, and saves the job that looks for them.
 
     ``_parts`` is the number of tasks a key is worth. Counting every key would shuffle
-    all of them when most are unique. So rows are first counted per hash class
-    (map-side, at most 65,536 counters per table), and exact keys are counted only
-    inside the classes that are big enough to hide a hot key. What is collected are
-    at most 65,536 classes and ``MOST_KEYS`` keys per table.
+    all of them when most are unique. So each task first sketches its rows: per class of
+    hashes a bounded list of the most frequent keys, which is merged by class. A key with
+    more than ``hot_rows`` rows that is also more than 1/600 of its class (about 1/37,000
+    of a table without very big keys) is surely listed; smaller ones are far below a
+    task's share of such a table. Exact counts are made of the listed keys only. What is
+    collected are at most 65,536 candidates and ``MOST_KEYS`` keys per table.
     """
     if hot_rows is None:
         return None
     keys = list(keys)
-    number = F.pmod(F.xxhash64(*keys), F.lit(_CLASSES)).cast("int")
     slim = reduce(
         DataFrame.unionByName,
         [
-            df.select(F.lit(name).alias(TABLE), number.alias("_class"), *keys)
+            df.select(F.lit(name).alias(TABLE), F.xxhash64(*keys).alias("_hash"), *keys)
             for name, df in tables.items()
         ],
     )
-    big = _counted(slim, [TABLE, "_class"]).where(F.col("_n") > hot_rows).collect()
+    big = _candidates(slim).where(F.col("_n") > hot_rows).select(TABLE, "_hash").collect()
     if not big:
         return None
     spark = slim.sparkSession
-    classes = [(row[TABLE], row["_class"]) for row in big]
-    inside = spark.createDataFrame(classes, f"{TABLE} string, _class int")
-    counted = _counted(slim.join(F.broadcast(inside), [TABLE, "_class"]), [TABLE, *keys])
+    listed = spark.createDataFrame([(row[TABLE], row["_hash"]) for row in big], f"{TABLE} string, _hash long")
+    counted = _counted(slim.join(F.broadcast(listed), [TABLE, "_hash"]), [TABLE, *keys])
     hot = counted.where(F.col("_n") > hot_rows).select(
         TABLE, *keys, F.ceil(F.col("_n") / F.lit(max(hot_rows, 1))).cast("int").alias(PARTS)
     )
@@ -75,6 +78,15 @@ def mark_hot(
     return df.join(small, match, how).drop(*names.values())
 
 
+def _candidates(slim: DataFrame) -> DataFrame:
+    """``(_table, _hash, _n)`` of frequent keys; ``_n`` is never less than the true count."""
+    number = F.pmod("_hash", F.lit(_CLASSES)).cast("int").alias("_class")
+    sketch = F.expr(f"approx_top_k(_hash, {_REPORTED}, {_TRACKED})").alias("_top")
+    tops = slim.select(TABLE, number, "_hash").groupBy(TABLE, "_class").agg(sketch)
+    found = tops.select(TABLE, F.explode("_top").alias("_t"))
+    return found.select(TABLE, F.col("_t.item").alias("_hash"), F.col("_t.count").alias("_n"))
+
+
 def _counted(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("_n"))
 

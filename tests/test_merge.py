@@ -215,3 +215,41 @@ def test_row_count_of_unique_keys_is_the_union(spark):
         for i, ks in enumerate(sets)
     }
     assert outer_merge(tables, KEYS).count() == len(set().union(*sets))
+
+
+def _keys(spark, hot, distinct):
+    """``distinct`` keys once or twice each, and the ``hot`` ones so often."""
+    rare = spark.range(distinct).select((F.col("id") * 7 % (distinct // 2)).cast("string").alias("k"))
+    for key, n in hot.items():
+        rare = rare.unionByName(spark.range(n).select(F.lit(key).cast("string").alias("k")))
+    return rare.repartition(8).select("k", F.lit(1).alias("v"))
+
+
+def test_sketches_miss_no_hot_key(spark):
+    hot = {"A": 90_000, "B": 20_000, None: 9_000, "C": 4_001, **{f"h{i}": 4_100 + i for i in range(40)}}
+    table = _keys(spark, {**hot, "almost": 4_000, "less": 900}, 600_000)
+    found = {r.k: r._parts for r in hot_keys({"t": table, "u": table.limit(10)}, ["k"], 4_000).collect()}
+    assert found == {k: -(-n // 4_000) for k, n in hot.items()}
+
+
+def test_only_listed_keys_are_counted_exactly(spark, monkeypatch):
+    from barloom.operators import skew
+
+    seen = []
+    counted = skew._counted
+    monkeypatch.setattr(skew, "_counted", lambda df, keys: (seen.append((df, keys)), counted(df, keys))[1])
+    table = _keys(spark, {"A": 9_000}, 400_000)
+    assert hot_keys({"t": table}, ["k"], 100_000) is None and not seen
+    assert [r.k for r in hot_keys({"t": table}, ["k"], 5_000).collect()] == ["A"]
+    ((df, keys),) = seen
+    assert keys == ["_table", "k"] and df.select("k").distinct().count() == 1
+
+
+def test_candidates_are_bounded_whatever_the_number_of_keys(spark):
+    from barloom.operators import skew
+
+    table = _keys(spark, {"A": 5_000}, 1_000_000).select(F.lit("t").alias("_table"), F.xxhash64("k").alias("_hash"))
+    listed = skew._candidates(table)
+    assert listed.count() <= skew._CLASSES * skew._REPORTED
+    hashed = spark.range(1).select(F.xxhash64(F.lit("A"))).first()[0]
+    assert listed.where(F.col("_hash") == hashed).first()._n >= 5_000
