@@ -246,7 +246,7 @@ def _incremental_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = landed(spark, sf_dir, "prices")
     lake_dir = scratch_dir(spark, "lake")
     is_late = F.col("Volume") % 10 == 3
-    early = F.col("Date") < "1995-06-20"
+    early = F.col("Date") < "1998-06-20"
     second = prices.where(~early & ~is_late)
     for delivery in (prices.where(early & ~is_late), second, prices.where(is_late), second):
         path = barloom.add_prices(spark, lake_dir, delivery)
@@ -274,9 +274,9 @@ def _annual_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     served = _fundamentals(spark, sf_dir)
     path = lake.write_partitioned(served, scratch_dir(spark, "lake"), ["Year"])
     states = scratch_dir(spark, "states")
-    rollups.refresh(rollups.ANNUAL, served.where("Year < 1995"), states)
+    rollups.refresh(rollups.ANNUAL, served.where("Year < 1998"), states)
     table = spark.read.parquet(path)
-    years = [tuple(y) for y in table.where("Year >= 1995").select("Year").distinct().collect()]
+    years = [tuple(y) for y in table.where("Year >= 1998").select("Year").distinct().collect()]
     rollups.refresh(rollups.ANNUAL, table, states, years)
     return _rounded(barloom.report(spark, rollups.ANNUAL, states))
 
@@ -300,6 +300,35 @@ def _stored_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.join(exact, "check").select("check", F.col("exact").alias("count"), near.alias("near"))
 
 
+def _saved_fundamentals(spark: SparkSession, sf_dir: str) -> str:
+    name = f"{_scratch_database(spark)}.stock_fundamentals"
+    replace_table(_fundamentals(spark, sf_dir), name)
+    return name
+
+
+def _stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fundamentals = _saved_fundamentals(spark, sf_dir)
+    prices = fundamentals.replace("stock_fundamentals", "stock_prices")
+    replace_table(_prices(spark, sf_dir), prices)
+    checks = {"Fundamentals row count": fundamentals, "Prices row count": prices}
+    return barloom.stored_row_counts(spark, checks)
+
+
+def _registered_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An external table whose files, columns and partitions change between registrations."""
+    database = _scratch_database(spark)
+    path = scratch_dir(spark, "lake")
+    keys = ["Year", "Month"]
+    whole = _prices_external(spark, sf_dir)
+    for df in (whole.where("Year <= 1996").drop("SMA_20").withColumn("Extra", F.lit(1)), whole):
+        lake.write_partitioned(df, path, keys)
+        table = catalog.register_external(
+            spark, f"{database}.stock_prices_external", path, keys, None, catalog.KEYS_TYPED
+        )
+        table.count()
+    return _rounded(table.withColumn("Date", F.col("Date").try_cast("date")))
+
+
 def _statements_repeated(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Statements with NULL tickers and dates and with keys that occur several times."""
     changed = []
@@ -523,6 +552,12 @@ def library_queries() -> dict[str, Query]:
         "annual_company_metrics_stored": _annual_states,
         "yearly_price_stats_stored": _yearly_prices,
         "quality_stored": _stored_quality,
+        "latest_year_stored": lambda s, d: barloom.stored_latest_year(s, _saved_fundamentals(s, d)),
+        "top_performers_stored": lambda s, d: _rounded(
+            barloom.stored_top_performers(s, _saved_fundamentals(s, d))
+        ),
+        "row_counts_stored": _stored_counts,
+        "external_registered_twice": _registered_twice,
         "merge_statements_saved": _merge_saved,
         "merge_statements_saved_split": lambda s, d: _merge_saved(s, d, hot_rows=1),
         "annual_several_reports": _several_reports,

@@ -2,6 +2,12 @@
 
 from barloom.plans.fundamentals import enrich_fundamentals, stock_fundamentals
 from barloom.plans.incremental import add_prices
+from barloom.plans.metadata import (
+    latest_partition,
+    stored_latest_year,
+    stored_row_counts,
+    stored_top_performers,
+)
 from barloom.plans.pipeline import (
     create_views,
     extract,
@@ -39,6 +45,7 @@ __all__ = [
     "enrich_prices",
     "enrich_saved_prices",
     "extract",
+    "latest_partition",
     "latest_year",
     "load",
     "merge_saved_statements",
@@ -56,7 +63,10 @@ __all__ = [
     "save_statements",
     "stock_fundamentals",
     "stock_prices",
+    "stored_latest_year",
     "stored_quality",
+    "stored_row_counts",
+    "stored_top_performers",
     "ticker_score",
     "top_performers",
 ]

@@ -16,12 +16,13 @@ from barloom.sinks.lake import (
     write_partitioned,
     write_raw,
 )
-from barloom.sinks.versions import drop_version, replace_table, versions
+from barloom.sinks.versions import current_version, drop_version, replace_table, versions
 from barloom.scratch import scratch_dir
 
 __all__ = [
     "create_database",
     "create_view",
+    "current_version",
     "drop_table",
     "drop_version",
     "export_csv",

@@ -8,6 +8,7 @@ new one. The version before stays, so that readers who have started can finish.
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Sequence
 
@@ -58,6 +59,18 @@ def versions(spark: SparkSession, name: str) -> list[str]:
     return [f"{database}.{t}" for t in sorted(found) if t.lower().startswith(start)]
 
 
+def current_version(spark: SparkSession, name: str) -> str:
+    """The version that ``name`` shows now, or ``name`` itself if it is a plain table."""
+    if spark.catalog.getTable(name).tableType != "VIEW":
+        return name
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").where("col_name = 'View Text'")
+    text = details.first()["data_type"]
+    shown = re.fullmatch(r"SELECT \* FROM `(\w+)`\.`(\w+)`", text)
+    if shown is None:
+        raise ValueError(f"{name} is a view that does not show a version: {text}")
+    return ".".join(shown.groups())
+
+
 def drop_version(spark: SparkSession, version: str) -> None:
     """Drop a version and its files."""
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(version)}")

@@ -354,6 +354,14 @@ def oracle_sql() -> dict[str, str]:
             ("stock_fundamentals", "stock_prices"),
             f'select "check", "count", true as near from ({_CHECKS.strip()})',
         ),
+        "latest_year_stored": _with(
+            ("stock_fundamentals",), "select max(Year) as max_year from stock_fundamentals"
+        ),
+        "top_performers_stored": _select("top", _TOP_COLUMNS),
+        "row_counts_stored": _with(
+            ("stock_fundamentals", "stock_prices"), _CHECKS.split("union all select 'Unique")[0]
+        ),
+        "external_registered_twice": _select("windows", _WINDOW_COLUMNS),
         "merge_statements_saved": _repeated_keys(),
         "merge_statements_saved_split": _repeated_keys(),
         "annual_several_reports": _select("annual", _ANNUAL_COLUMNS).replace(
