@@ -18,7 +18,7 @@ from barloom.functions import metrics  # noqa: E402
 from barloom.operators import attach_company  # noqa: E402
 from barloom.plans import rollups  # noqa: E402
 from barloom.sinks import catalog, lake, replace_table, scratch_dir  # noqa: E402
-from barloom.sources import Delivery, all_rejects, deliver_prices, files  # noqa: E402
+from barloom.sources import Delivery, all_rejects, deliver_prices, files, read_drifting  # noqa: E402
 from derived_inputs import landed  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,6 +329,23 @@ def _registered_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(table.withColumn("Date", F.col("Date").try_cast("date")))
 
 
+def _drifting(spark: SparkSession, sf_dir: str) -> str:
+    """Prices of three vendors' versions: other headers, other types, other columns."""
+    prices = landed(spark, sf_dir, "prices")
+    path = scratch_dir(spark, "vendor")
+    year = F.year("Date")
+    old, middle, new = (prices.where(c) for c in (year < 1997, year.between(1997, 1998), year > 1998))
+    plain = middle.withColumns({"Volume": F.col("Volume").cast("int"), "Low": F.col("Low").cast("decimal(18,2)")})
+    versions = [
+        _raw_headers(old),
+        plain.toDF(*[c.lower() for c in plain.columns]),
+        new.drop("Adj_Close").withColumn("Trading Currency", F.lit("USD")),
+    ]
+    for version in versions:
+        version.write.mode("append").parquet(path)
+    return path
+
+
 def _statements_repeated(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Statements with NULL tickers and dates and with keys that occur several times."""
     changed = []
@@ -558,6 +575,10 @@ def library_queries() -> dict[str, Query]:
         ),
         "row_counts_stored": _stored_counts,
         "external_registered_twice": _registered_twice,
+        "drifting_headers": lambda s, d: read_drifting(
+            s, _drifting(s, d), schemas.PRICES, schemas.PRICE_KEYS
+        ),
+        "drifting_headers_all_columns": lambda s, d: read_drifting(s, _drifting(s, d)),
         "merge_statements_saved": _merge_saved,
         "merge_statements_saved_split": lambda s, d: _merge_saved(s, d, hot_rows=1),
         "annual_several_reports": _several_reports,

@@ -1,5 +1,6 @@
 """Readers."""
 
+from barloom.sources.drift import read_drifting
 from barloom.sources.files import (
     read_balance,
     read_cashflow,
@@ -25,6 +26,7 @@ __all__ = [
     "read_balance",
     "read_cashflow",
     "read_csv",
+    "read_drifting",
     "read_income",
     "read_parquet",
     "read_prices",

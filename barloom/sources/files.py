@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,14 +103,19 @@ def read_prices(
 
 
 def read_parquet(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Parquet files, directories or globs under clean headers.
 
     With ``schema`` only its columns, found by cleaned name, in its types; a column that
-    the files lack is NULL, but a file without any of them is refused.
+    the files lack is NULL, but a file without any of them is refused, and so is one
+    without one of ``keys``. One footer stands for all files; see
+    :func:`~barloom.sources.drift.read_drifting` for files that differ.
     """
     found = clean_headers(spark.read.parquet(path))
+    lacking = [k for k in keys if not has_column(found, k)]
+    if lacking:
+        raise ValueError(f"{path} lacks the keys {lacking}")
     if schema is None:
         return found
     if not any(has_column(found, f.name) for f in schema.fields):

@@ -165,6 +165,10 @@ _VERSIONS = """
 select Ticker, Year, Revenue, round(ROE, 6) as ROE, 'before' as Seen from stock_fundamentals where Year < 1996
 union all select Ticker, Year, Revenue, round(ROE, 6), 'after' from stock_fundamentals
 """
+_DRIFTED = """
+select Ticker, Date, Open, High, Low, Close, case when year(Date) <= 1998 then Adj_Close end as Adj_Close, Volume
+from prices
+"""
 # Cells of the delivered prices that cannot be read, by what the delivery did to them.
 _REJECTED_CELLS = """
 select 'prices' as "table", 'Date' as "column", 'no ' || strftime(Date, '%d/%m/%Y') as "value", 'not a date' as reason
@@ -362,6 +366,12 @@ def oracle_sql() -> dict[str, str]:
             ("stock_fundamentals", "stock_prices"), _CHECKS.split("union all select 'Unique")[0]
         ),
         "external_registered_twice": _select("windows", _WINDOW_COLUMNS),
+        "drifting_headers": _with(("prices",), _DRIFTED),
+        "drifting_headers_all_columns": _with(
+            ("prices",),
+            "select *, case when year(Date) > 1998 then 'USD' end as Trading_Currency "
+            f"from ({_DRIFTED.strip()})",
+        ),
         "merge_statements_saved": _repeated_keys(),
         "merge_statements_saved_split": _repeated_keys(),
         "annual_several_reports": _select("annual", _ANNUAL_COLUMNS).replace(
