@@ -17,7 +17,15 @@ from barloom import schemas  # noqa: E402
 from barloom.functions import metrics  # noqa: E402
 from barloom.operators import attach_company  # noqa: E402
 from barloom.plans import rollups  # noqa: E402
-from barloom.sinks import catalog, lake, replace_table, scratch_dir  # noqa: E402
+from barloom.sinks import (  # noqa: E402
+    catalog,
+    lake,
+    ordered_between,
+    ordered_head,
+    replace_table,
+    save_ordered,
+    scratch_dir,
+)
 from barloom.sources import Delivery, all_rejects, deliver_prices, files, read_drifting  # noqa: E402
 from derived_inputs import landed  # noqa: E402
 
@@ -346,6 +354,10 @@ def _drifting(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def _ordered(spark: SparkSession, report: DataFrame, order: tuple[str, ...]) -> str:
+    return save_ordered(_rounded(report), scratch_dir(spark, "ordered"), order, files=12)
+
+
 def _statements_repeated(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Statements with NULL tickers and dates and with keys that occur several times."""
     changed = []
@@ -579,6 +591,15 @@ def library_queries() -> dict[str, Query]:
             s, _drifting(s, d), schemas.PRICES, schemas.PRICE_KEYS
         ),
         "drifting_headers_all_columns": lambda s, d: read_drifting(s, _drifting(s, d)),
+        "annual_ordered_head": lambda s, d: ordered_head(
+            s, _ordered(s, _annual(s, d), barloom.plans.reports.ANNUAL_ORDER), 100
+        ),
+        "monthly_ordered_head": lambda s, d: ordered_head(
+            s, _ordered(s, _monthly(s, d), barloom.plans.reports.MONTHLY_ORDER), 100
+        ),
+        "annual_ordered_since": lambda s, d: ordered_between(
+            s, _ordered(s, _annual(s, d), barloom.plans.reports.ANNUAL_ORDER), low=1998
+        ),
         "merge_statements_saved": _merge_saved,
         "merge_statements_saved_split": lambda s, d: _merge_saved(s, d, hot_rows=1),
         "annual_several_reports": _several_reports,

@@ -34,6 +34,9 @@ MONTHLY_MEASURES = {
     "Total_Volume_Millions": "sum(Volume_Millions)",
     "Avg_Daily_Return": "avg(Daily_Return)",
 }
+# Newest year (and month) first, then by ticker, as ``newest_first`` sorts.
+ANNUAL_ORDER = ("Year desc", "Ticker")
+MONTHLY_ORDER = ("Year desc", "Month desc", "Ticker")
 PERFORMER_COLUMNS = (
     "Ticker",
     "Company_Name",

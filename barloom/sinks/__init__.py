@@ -16,6 +16,7 @@ from barloom.sinks.lake import (
     write_partitioned,
     write_raw,
 )
+from barloom.sinks.ordered import ordered_between, ordered_head, save_ordered
 from barloom.sinks.versions import current_version, drop_version, replace_table, versions
 from barloom.scratch import scratch_dir
 
@@ -26,11 +27,14 @@ __all__ = [
     "drop_table",
     "drop_version",
     "export_csv",
+    "ordered_between",
+    "ordered_head",
     "raw_path",
     "register_external",
     "replace_table",
     "row_count",
     "save_bucketed",
+    "save_ordered",
     "save_table",
     "scratch_dir",
     "transformed_path",

@@ -372,6 +372,18 @@ def oracle_sql() -> dict[str, str]:
             "select *, case when year(Date) > 1998 then 'USD' end as Trading_Currency "
             f"from ({_DRIFTED.strip()})",
         ),
+        "annual_ordered_head": _select(
+            "annual",
+            _ANNUAL_COLUMNS,
+            "order by Year desc nulls last, Ticker asc nulls first limit 100",
+        ),
+        "monthly_ordered_head": _select(
+            "monthly",
+            _MONTHLY_COLUMNS,
+            "order by Year desc nulls last, Month desc nulls last, "
+            "Ticker asc nulls first limit 100",
+        ),
+        "annual_ordered_since": _select("annual", _ANNUAL_COLUMNS, "where Year >= 1998"),
         "merge_statements_saved": _repeated_keys(),
         "merge_statements_saved_split": _repeated_keys(),
         "annual_several_reports": _select("annual", _ANNUAL_COLUMNS).replace(
