@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from barloom.llm.common import groups, map_arrow, materialize
 from barloom.llm.vectors import as_rows, cosines, matrix, unit
 
-#: Vectors that the lists and the number of probes are fitted on at most.
+#: Vectors that the lists and the number of probes are fitted on, about: at least and at
+#: most. Between them the sample grows with the root of the rows, as the lists do.
 SAMPLE = 8192
+MOST_SAMPLE = 65_536
 #: Share of true neighbours that the probes must reach on the sample.
 AIM = 0.99
 #: Candidates of a list, and queries, that one group holds on average.
@@ -37,11 +39,24 @@ SEED = 11
 
 @dataclass
 class Index:
-    """Rotation, list centres and probes for one vector length."""
+    """Rotation, list centres, probes and, once known, ids per list, for one vector length."""
 
     rotation: np.ndarray
     centres: np.ndarray
     probes: int
+    held: np.ndarray | None = None
+
+    def probed(self, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) of all lists that queries with these scores per list must look into.
+
+        A query goes on to further lists until they hold more than ``k`` ids.
+        """
+        order = np.argsort(-score, axis=1, kind="stable")
+        held = np.cumsum(self.held[order], axis=1)
+        needed = (held <= k).sum(axis=1) + 1
+        counts = np.minimum(np.maximum(needed, self.probes), order.shape[1])
+        chosen = np.arange(order.shape[1])[None, :] < counts[:, None]
+        return np.repeat(np.arange(len(order)), counts), order[chosen]
 
 
 def _rotation(dim: int) -> np.ndarray:
@@ -71,7 +86,7 @@ def fit(sample: np.ndarray, rows: int, k: int) -> Index:
     points = unit(sample)
     rotation = _rotation(points.shape[1])
     points = points @ rotation
-    lists = max(1, min(256, len(points) // 32, round(math.sqrt(rows) / 4)))
+    lists = max(1, min(len(points) // 32, round(math.sqrt(rows) / 4)))
     centres = _centres(points, lists)
     queries = np.random.default_rng(SEED).choice(len(points), min(256, len(points)), replace=False)
     near = points[queries] @ points.T
@@ -115,22 +130,26 @@ def scan_list(query: np.ndarray, blocks: list[np.ndarray], k: int) -> np.ndarray
     return chosen
 
 
-def _assign_task(indexes: dict[int, Index], probing: bool):
+def _assign_task(indexes: dict[int, Index], k: int | None = None):
+    """Task that gives each vector its list, or with ``k`` each query the lists it probes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column(2).to_numpy()
             for dim in np.unique(dims).tolist():
                 rows = batch.filter(pa.array(dims == dim))
                 vectors = rows.column(1)
-                near, probes = np.zeros((len(rows), 1), np.int64), 1
+                pick, lists = np.arange(len(rows)), np.zeros(len(rows), np.int64)
                 if dim in indexes:
                     index = indexes[dim]
-                    probes = index.probes if probing else 1
                     score = (unit(matrix(vectors)) @ index.rotation) @ index.centres.T
-                    near = np.argsort(-score, axis=1, kind="stable")[:, :probes]
-                pick = pa.array(np.repeat(np.arange(len(rows)), near.shape[1]))
+                    if k is None:
+                        lists = score.argmax(axis=1)
+                    else:
+                        pick, lists = index.probed(score, k)
+                taken = pa.array(pick)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).take(pick), vectors.take(pick), rows.column(2).take(pick), pa.array(near.reshape(-1))],
+                    [rows.column(0).take(taken), vectors.take(taken), rows.column(2).take(taken), pa.array(lists)],
                     names=["vec_id", "vec", "dim", "list"],
                 )
 
@@ -146,9 +165,13 @@ def _search_task(k: int):
             ids = table.column(5).to_numpy()
             vectors = matrix(table.column(6))
             rotated = unit(vectors) @ _rotation(vectors.shape[1])
-            own, rows = ids[~asks], vectors[~asks]
+            # Rows that repeat an id with its vector are one candidate; they are all here.
+            places = np.flatnonzero(~asks)
+            if len(np.unique(ids[places])) < len(places):
+                places = np.array(list({(ids[p], vectors[p].tobytes()): p for p in places.tolist()}.values()))
+            own, rows = ids[places], vectors[places]
             blocks = [
-                np.ascontiguousarray(rotated[~asks][:, a : a + COLUMNS]) for a in range(0, rotated.shape[1], COLUMNS)
+                np.ascontiguousarray(rotated[places][:, a : a + COLUMNS]) for a in range(0, rotated.shape[1], COLUMNS)
             ]
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for at in np.flatnonzero(asks).tolist():
@@ -179,16 +202,28 @@ def nearest(
     valid = as_rows(vectors, id_col, vector_col).where("vec_id is not null")
     valid = materialize(valid.withColumn("dim", F.size("vec")), "vectors")
     sizes = {r["dim"]: r["n"] for r in valid.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(64).collect()}
-    sample = valid.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("dim", "vec").collect()
+    rows = sum(sizes.values())
+    wanted = min(max(SAMPLE, round(8 * math.sqrt(rows))), MOST_SAMPLE)
+    # Drawn by a hash, so that no task hands on more than its part; copies are drawn once.
+    mark = F.xxhash64("vec_id", "vec")
+    drawn = valid.where(F.pmod(mark, F.lit(1 << 30)) < F.lit(min(1.0, wanted / max(rows, 1)) * (1 << 30)))
+    sample = drawn.select("dim", "vec", mark.alias("mark")).dropDuplicates(["mark"]).orderBy("mark").collect()
     indexes = {}
     for dim, n in sizes.items():
         points = np.array([r["vec"] for r in sample if r["dim"] == dim])
         if len(points) > 32 * k:
             indexes[dim] = fit(points, n, k)
     kind = "vec_id long, vec array<double>, dim int, list long"
-    listed = map_arrow(valid, _assign_task(indexes, False), kind)
+    listed = map_arrow(valid, _assign_task(indexes), kind)
     listed = materialize(listed, "lists")
-    asked = map_arrow(valid.where(is_query), _assign_task(indexes, True), kind)
+    # Ids are counted in one of their lists only, so that sums over lists promise no less.
+    ids = listed.groupBy("dim", "vec_id").agg(F.min("list").alias("list"))
+    for dim, index in indexes.items():
+        index.held = np.zeros(len(index.centres), np.int64)
+    for row in ids.groupBy("dim", "list").agg(F.count("*").alias("n")).collect():
+        if row["dim"] in indexes:
+            indexes[row["dim"]].held[row["list"]] = row["n"]
+    asked = map_arrow(valid.where(is_query), _assign_task(indexes, k), kind)
     # A large list is cut into chunks, and its queries into blocks: a group is bounded.
     held = listed.groupBy("dim", "list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     wanted = asked.groupBy("dim", "list").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("turns"))

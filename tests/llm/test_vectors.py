@@ -156,3 +156,62 @@ def test_adaptive_scan_keeps_the_nearest_and_ties():
     blocks = [np.ascontiguousarray(points[:, a : a + 16]) for a in range(0, 64, 16)]
     chosen = neighbours.scan_list(query, blocks, 6)
     assert set(range(100, 140)) <= set(chosen.tolist()) and len(chosen) < 200
+
+
+def _clusters(sizes, dim=16, spread=1e-3, seed=4):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(len(sizes), dim))
+    points = [c + spread * rng.normal(size=dim) for c, n in zip(centres, sizes) for _ in range(n)]
+    return [(i, p.tolist()) for i, p in enumerate(points)]
+
+
+def _plain(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+
+
+def test_queries_in_tiny_lists_go_on_to_further_ones(spark):
+    # Four lists, of which the first and the last hold fewer than a query asks for.
+    rows = _clusters([3, 97, 98, 2])
+    found = neighbours.nearest(_plain(spark, rows), F.col("vec_id").isin(0, 1, 50, 198, 199))
+    counts = {r.query_id: r.n for r in found.groupBy("query_id").agg(F.count("*").alias("n")).collect()}
+    assert counts == dict.fromkeys((0, 1, 50, 198, 199), 5)
+    points = np.array([r[1] for r in rows])
+    best = {r.vec_id for r in found.where("query_id = 0").collect()}
+    assert {1, 2} <= best
+    assert found.where("query_id = 0 and rank = 1").first().score == pytest.approx(
+        max(float(cosines(points[0], points[k : k + 1])[0]) for k in (1, 2))
+    )
+
+
+def test_copies_of_one_id_take_one_place(spark):
+    rows = _clusters([40, 60])
+    copies = rows + [rows[1]] * 30 + [rows[0]] * 30
+    got = neighbours.nearest(_plain(spark, copies), F.col("vec_id") == 0).orderBy("rank").collect()
+    expected = neighbours.nearest(_plain(spark, rows), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert got == expected and len({r.vec_id for r in got}) == 5
+
+
+def test_recall_on_clustered_vectors(spark):
+    rows = _clusters([20] * 150, dim=24, spread=0.2, seed=9)
+    points = np.array([r[1] for r in rows])
+    got = {}
+    for r in neighbours.nearest(_plain(spark, rows), F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for i in range(0, len(points), 50):
+        scores = cosines(points[i], points)
+        scores[i] = -2
+        hits += len(got[i] & set(np.argsort(-scores)[:5].tolist()))
+    assert hits / (5 * len(got)) >= 0.9 and len(got) == 60
+
+
+def test_the_sample_is_drawn_by_a_hash(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SAMPLE", 300)
+    monkeypatch.setattr(neighbours, "MOST_SAMPLE", 300)
+    seen = []
+    fit = neighbours.fit
+    monkeypatch.setattr(neighbours, "fit", lambda points, rows, k: (seen.append((len(points), rows)), fit(points, rows, k))[1])
+    rows = _clusters([20] * 100) + [(1, _clusters([20])[0][1])] * 1000
+    neighbours.nearest(_plain(spark, rows), F.col("vec_id") == 0).collect()
+    ((drawn, counted),) = seen
+    assert counted == 3000 and drawn < 400
