@@ -61,7 +61,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in slices(batches):
         prints = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"]
+            [batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)], names=["doc_id", "fp", "mark"]
         )
 
 
@@ -222,27 +222,38 @@ def simhash_groups(
     like any other. Repeated ids stay as they are; a null id is never a component's
     smallest one unless the component has no other. Extra columns are not read.
     """
-    rows = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).cast("string").alias("text"))
-    prints = materialize(map_arrow(rows, _fingerprints, "doc_id long, fp long"), "fingerprints")
+    return _classes(docs, distance, id_col, text_col).select("doc_id", "fp", "component_id")
+
+
+def _classes(docs: DataFrame, distance: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id``, ``fp``, ``mark`` of the text, and ``root`` and ``component_id`` of the group."""
+    text = named(text_col).cast("string")
+    rows = docs.select(named(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
+    prints = materialize(map_arrow(rows, _fingerprints, "doc_id long, fp long, mark long"), "fingerprints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     linked = components(fingerprint_links(distinct, distance))
     roots = distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("root")
     )
     named_roots = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = roots.join(named_roots, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = roots.join(named_roots, "root").select("fp", "root", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "fp", "mark", "root", "component_id")
 
 
 def simhash_keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id.
 
-    Rows that repeat the smallest id are reduced to one of them. Rows without an id
-    cannot be named by a group and all stay.
+    An id may occur in several groups, with texts that are no near copies; each group then
+    keeps its own. Of rows with a group's smallest id the one of the smallest fingerprint
+    stays, and of rows that are equal in id and text one. Rows without an id cannot be
+    named by a group and all stay. Equal texts are told by 64 bits.
     """
-    found = simhash_groups(docs, id_col, text_col)
-    mark = free_name(docs, "kept_id")
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(mark))
-    kept = docs.join(keep.distinct(), named(id_col) == F.col(mark), "left_semi")
-    # Both steps deal the rows out by id, so the texts move once.
-    return kept.dropDuplicates([id_col]).union(docs.where(named(id_col).isNull()))
+    found = _classes(docs, DISTANCE, id_col, text_col).where("doc_id is not null")
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "fp", "mark")).alias("first"))
+    ids, marks = free_name(docs, "kept_id"), free_name(docs, "kept_mark")
+    keep = first.select(F.col("first.doc_id").alias(ids), F.col("first.mark").alias(marks)).distinct()
+    own = free_name(docs, "own_mark")
+    marked = docs.withColumn(own, F.xxhash64(named(text_col).cast("string")))
+    kept = marked.join(keep, (named(id_col) == F.col(ids)) & (F.col(own) == F.col(marks)), "left_semi")
+    # Both steps deal the rows out by id and mark, so the texts move once.
+    return kept.dropDuplicates([id_col, own]).drop(own).union(docs.where(named(id_col).isNull()))

@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = {n.split("_")[0] for n in queries.queries()}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert {"pipeline", *queries.queries()} <= set(entry.queries())
     assert set(queries.oracle_sql()) <= set(queries.queries())
 

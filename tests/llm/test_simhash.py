@@ -94,3 +94,19 @@ def test_documents(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == sorted({i for i in least.values()})
     assert simhash.simhash_groups(docs.limit(0)).count() == 0
+
+
+def test_texts_that_share_an_id_stay_apart(spark):
+    one, two = "the quick brown fox jumps over the lazy dog", "entirely other words stand in this second text here"
+    rows = [
+        (1, one, "en", "a"), (1, two, "en", "a"), (1, one, "en", "b"), (2, two, "en", "a"), (3, one, "en", "a"),
+        (None, one, "en", "a"), (None, one, "en", "a"), (9, None, "en", "a"), (8, "", "en", "a"), (8, " ", "en", "a"),
+    ]
+    docs = documents(spark, rows)
+    kept = simhash.simhash_keep(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id or 0, r.text) for r in kept.collect()), key=str)
+    # Texts without words are one group; its smallest id is 8, and one of its two texts stays.
+    blank = [g for g in got if g[0] == 8]
+    assert sorted(g for g in got if g[0] != 8) == sorted([(0, one), (0, one), (1, two), (1, one)])
+    assert len(blank) == 1 and blank[0][1] in ("", " ") and len(got) == 5
