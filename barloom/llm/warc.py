@@ -14,7 +14,7 @@ import hashlib
 import urllib.parse
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -27,6 +27,8 @@ from barloom.llm.common import map_arrow, materialize, named, slices
 #: A task begins another file after so many bytes.
 FILE_BYTES = 256 << 20
 READ_BYTES = 1 << 20
+#: Compressed bytes given to the decoder at once.
+FEED_BYTES = 1 << 14
 #: A header longer than this is none.
 HEADER_BYTES = 1 << 20
 MAX_TASKS = 20_000
@@ -35,7 +37,9 @@ MAX_TASKS = 20_000
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION = "WARC/1.1"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_PAGE = "urn:page:"
+# Headers of this writer: the page of a record, and the page whose record it refers to.
+_PAGE_ID = "X-Page-ID"
+_REFERS_PAGE = "X-Refers-To-Page-ID"
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
@@ -49,6 +53,12 @@ def base32(hex_digest: str) -> str:
     return base64.b32encode(bytes.fromhex(hex_digest)).decode()
 
 
+def _record_id(page_id: int | None, digest: str, target: str | None) -> str:
+    """The id of the response of a page and payload, or of a revisit, which has a target too."""
+    name = f"{page_id}/{digest}" + (f"/{target}" if target is not None else "")
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
+
+
 def _record(page_id: int | None, url: str | None, payload: bytes, digest: str, first: int | None) -> bytes:
     """One record as a gzip member; ``first`` is the page that a revisit refers to."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
@@ -58,7 +68,7 @@ def _record(page_id: int | None, url: str | None, payload: bytes, digest: str, f
     lines = [
         _VERSION,
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{_PAGE}{page_id}/{target}')}>",
+        f"WARC-Record-ID: {_record_id(page_id, digest, None if first is None else target)}",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Target-URI: {target}",
         f"WARC-Payload-Digest: sha1:{digest}",
@@ -66,9 +76,10 @@ def _record(page_id: int | None, url: str | None, payload: bytes, digest: str, f
         f"Content-Length: {len(block)}",
     ]
     if page_id is not None:
-        lines.append(f"WARC-Concurrent-To: <{_PAGE}{page_id}>")
+        lines.append(f"{_PAGE_ID}: {page_id}")
     if first is not None:
-        lines += [f"WARC-Refers-To: <{_PAGE}{first}>", f"WARC-Profile: {_PROFILE}"]
+        refers = [f"WARC-Refers-To: {_record_id(first, digest, None)}", f"{_REFERS_PAGE}: {first}"]
+        lines += [*refers, f"WARC-Profile: {_PROFILE}"]
     header = "\r\n".join(lines) + "\r\n\r\n"
     return gzip.compress(header.encode() + block + b"\r\n\r\n", compresslevel=6, mtime=0)
 
@@ -144,61 +155,75 @@ def list_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _records(store: fs.FileSystem, path: str, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """(offset, decoded record) of the records that begin in [start, end)."""
+    """(offset, decoded record) of the records that begin in [start, end).
+
+    Bytes of the file are read once, but for those behind a member that is no record.
+    """
     with store.open_input_file(path) as file:
         size = file.size()
-        base, buffer = start, b""
-
-        def more() -> bool:
-            nonlocal buffer
-            at = base + len(buffer)
-            if at >= size:
-                return False
-            file.seek(at)
-            buffer += file.read(min(READ_BYTES, size - at))
-            return True
-
-        at = 0
+
+        def read(position: int) -> bytes:
+            if position >= size:
+                return b""
+            file.seek(position)
+            return file.read(min(READ_BYTES, size - position))
+
+        # The buffer holds the file from ``base`` on, and is searched from ``at`` on.
+        base, buffer, at = start, b"", 0
         while base + at < end:
-            if len(buffer) - at < len(_MAGIC) and not more():
-                break
             found = buffer.find(_MAGIC, at)
             if found < 0:
                 # The last bytes may begin a magic that the next read completes.
-                at = max(at, len(buffer) - len(_MAGIC) + 1)
-                base, buffer, at = base + at, buffer[at:], 0
-                if not more():
+                keep = max(at, len(buffer) - len(_MAGIC) + 1)
+                following = read(base + len(buffer))
+                if not following:
                     break
+                base, buffer, at = base + keep, buffer[keep:] + following, 0
                 continue
-            base, buffer, at = base + found, buffer[found:], 0
-            if base >= end:
+            if base + found >= end:
                 break
-            decoder, parts, fed, valid, head = zlib.decompressobj(31), [], 0, None, b""
-            while True:
-                try:
-                    data = decoder.decompress(buffer[fed:])
-                except zlib.error:
-                    valid = False
-                    break
-                fed = len(buffer)
-                parts.append(data)
-                if valid is None:
-                    head += data
-                    if not head.startswith(b"WARC/"[: len(head)]):
-                        valid = False
-                        break
-                    if b"\r\n\r\n" in head:
-                        valid, head = True, b""
-                    elif len(head) > HEADER_BYTES:
-                        valid = False
-                        break
-                if decoder.eof or not more():
-                    break
-            if not valid or not decoder.eof:
-                at = 1
+            record, after, last, rest = _member(buffer, found, base, read)
+            if record is None:
+                at = found + 1
                 continue
-            yield base, b"".join(parts)
-            at = len(buffer) - len(decoder.unused_data)
+            yield base + found, record
+            base, buffer, at = last, rest, after - last
+
+
+def _member(
+    buffer: bytes, at: int, base: int, read: Callable[[int], bytes]
+) -> tuple[bytes | None, int, int, bytes]:
+    """The record of the gzip member at ``at`` of ``buffer``, or None if it is none.
+
+    With it come the place in the file behind the member, and the last bytes read of the
+    file with their place.
+    """
+    decoder, parts, head, valid = zlib.decompressobj(31), [], b"", False
+    place, none = base + at, (None, 0, 0, b"")
+    while True:
+        view = memoryview(buffer)
+        for begin in range(at, len(view), FEED_BYTES):
+            fed = view[begin : begin + FEED_BYTES]
+            try:
+                data = decoder.decompress(fed)
+            except zlib.error:
+                return none
+            place += len(fed)
+            parts.append(data)
+            if not valid:
+                head += data
+                if not head.startswith(b"WARC/"[: len(head)]):
+                    return none
+                valid = b"\r\n\r\n" in head
+                if not valid and len(head) > HEADER_BYTES:
+                    return none
+            if decoder.eof:
+                record = b"".join(parts) if valid else None
+                return record, place - len(decoder.unused_data), base, buffer
+        base, at = base + len(buffer), 0
+        buffer = read(base)
+        if not buffer:
+            return none
 
 
 def _parsed(record: bytes) -> tuple[dict[str, str], bytes, bytes]:
@@ -213,14 +238,13 @@ def _parsed(record: bytes) -> tuple[dict[str, str], bytes, bytes]:
     return headers, http, payload
 
 
-def _page(urn: str | None) -> int | None:
-    text = (urn or "").strip("<>")
-    return int(text[len(_PAGE) :]) if text.startswith(_PAGE) else None
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text.lstrip("-").isdigit() else None
 
 
 _ROW = (
     "path string, offset long, record_type string, page_id long, refers_to long, url string, "
-    "payload_bytes long, payload_digest string, intact boolean"
+    "payload_bytes long, payload_digest string, intact boolean, record_id string, refers_to_record string"
 )
 
 
@@ -229,7 +253,9 @@ def read_warc(files: DataFrame, split_bytes: int | None = None, payload: bool =
 
     ``payload_bytes`` and ``payload_digest`` are those of the full payload, also for
     revisits, whose payload is not stored; ``intact`` tells whether a stored payload has
-    the digest that its header names. With ``payload`` the bytes follow as ``payload``
+    the digest that its header names. ``record_id`` and ``refers_to_record`` are the ids that
+    the headers give; ``page_id`` and ``refers_to`` are null in archives of other writers.
+    With ``payload`` the bytes follow as ``payload``
     (null for revisits). Without ``split_bytes`` Spark's own split size is used. Bytes
     that belong to no valid record are passed over.
     """
@@ -261,12 +287,14 @@ def read_warc(files: DataFrame, split_bytes: int | None = None, payload: bool =
                             path,
                             offset,
                             headers.get("warc-type"),
-                            _page(headers.get("warc-concurrent-to")),
-                            _page(headers.get("warc-refers-to")),
+                            _number(headers.get(_PAGE_ID.lower())),
+                            _number(headers.get(_REFERS_PAGE.lower())),
                             headers.get("warc-target-uri"),
                             length,
                             digest,
                             intact,
+                            headers.get("warc-record-id"),
+                            headers.get("warc-refers-to"),
                             *([None if revisit else body] if payload else []),
                         )
                     )
@@ -283,6 +311,7 @@ def read_warc(files: DataFrame, split_bytes: int | None = None, payload: bool =
 
 def _batch(rows: list[tuple], payload: bool) -> pa.RecordBatch:
     kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.bool_()]
+    kinds += [pa.string(), pa.string()]
     kinds += [pa.binary()] * payload
     names = [c.split()[0] for c in _ROW.split(", ")] + ["payload"] * payload
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)

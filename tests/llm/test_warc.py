@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import pytest
 
@@ -72,3 +73,68 @@ def test_bytes_between_records_are_passed_over(spark, tmp_path):
 def test_no_pages(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_warc(warc.write_warc(empty, scratch_dir(spark, "warc"))).count() == 0
+
+
+def test_every_reference_is_a_record_of_the_archive(spark):
+    rows = _rows()
+    pages = spark.createDataFrame([(*r, "p", 1, 2) for r in rows], SCHEMA).repartition(4)
+    back = warc.read_warc(warc.write_warc(pages, scratch_dir(spark, "warc"))).collect()
+    responses = {r.record_id: r for r in back if r.record_type == "response"}
+    revisits = [r for r in back if r.record_type == "revisit"]
+    assert len(revisits) > 10 and len({r.record_id for r in back}) == len(back)
+    for r in revisits:
+        to = responses[r.refers_to_record]
+        assert (to.page_id, to.payload_digest) == (r.refers_to, r.payload_digest)
+
+
+class _Store:
+    """One file in memory that counts what is read of it."""
+
+    def __init__(self, data):
+        self.data, self.read_bytes = data, 0
+
+    def open_input_file(self, path):
+        return self
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        return None
+
+    def size(self):
+        return len(self.data)
+
+    def seek(self, position):
+        self.at = position
+
+    def read(self, n):
+        self.read_bytes += n
+        self.at += n
+        return self.data[self.at - n : self.at]
+
+
+def test_reading_is_linear_in_long_and_in_many_records():
+    rng = random.Random(6)
+    long = rng.randbytes(24 << 20)
+    member = warc._record(1, "u", long, warc.base32(hashlib.sha1(long).hexdigest()), None)
+    small = warc._record(2, "u", b"small", warc.base32("ab" * 20), None)
+    for data, n in ((member, 1), (small * 20_000, 20_000), (small + member + small, 3)):
+        store = _Store(data)
+        found = list(warc._records(store, "a", 0, len(data)))
+        assert len(found) == n and found[0][0] == 0
+        assert store.read_bytes <= len(data) + 2 * warc.READ_BYTES
+    assert warc._parsed(found[1][1])[2] == long
+    assert [o for o, _ in found] == [0, len(small), len(small) + len(member)]
+
+
+def test_time_grows_with_the_length_of_a_record():
+    def seconds(n):
+        payload = random.Random(1).randbytes(n)
+        member = warc._record(1, "u", payload, warc.base32("ab" * 20), None)
+        begin = time.perf_counter()
+        assert len(list(warc._records(_Store(member), "a", 0, len(member)))) == 1
+        return time.perf_counter() - begin
+
+    seconds(1 << 20)
+    assert seconds(64 << 20) < 8 * 3 * max(seconds(8 << 20), 0.01)
