@@ -129,18 +129,24 @@ def format_conversations(turns: DataFrame, path: str = DEFAULT_VOCABULARY) -> Da
     )
 
 
-def parse_turn(bpe: Bpe, ids: np.ndarray) -> tuple[str, str]:
-    """(role, text) from the tokens of one turn."""
-    start, sep, end = reserved(bpe)
+def parse_turn(bpe: Bpe, ids: np.ndarray, controls: tuple[int, int, int] | None = None) -> tuple[str, str]:
+    """(role, text) from the tokens of one turn; ``controls`` are the vocabulary's reserved ids."""
+    return tuple(unescape(shown) for shown in _shown(bpe, ids, controls or reserved(bpe)))
+
+
+def _shown(bpe: Bpe, ids: np.ndarray, controls: tuple[int, int, int]) -> list[str]:
+    """Role and text of a turn as they are rendered, control strings escaped."""
+    start, sep, end = controls
     middle = int(np.flatnonzero(ids == sep)[0])
     if ids[0] != start or ids[-1] != end:
         raise ValueError("not a turn")
-    return tuple(unescape(bpe.decode(p.tobytes())) for p in (ids[1:middle], ids[middle + 1 : -1]))
+    return [bpe.decode(p.tobytes()) for p in (ids[1:middle], ids[middle + 1 : -1])]
 
 
 def _digest_task(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
+        controls, extra = reserved(bpe), sum(map(len, CONTROL))
         done: list[tuple] = []
         last, state = object(), None
 
@@ -150,18 +156,19 @@ def _digest_task(path: str):
                 done.append((last, n, turns.hexdigest(), under, loss.hexdigest(), chars))
 
         for batch in batches:
-            for conv, packed, mask, chars in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4))):
+            for conv, packed, mask in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3))):
                 if conv != last or state is None:
                     close()
                     last, state = conv, [hashlib.sha256(), hashlib.sha256(), 0, 0, 0]
                 ids = np.frombuffer(packed, "<u4")
-                role, text = parse_turn(bpe, ids)
+                shown = _shown(bpe, ids, controls)
+                role, text = map(unescape, shown)
                 state[0].update(f"{role}\n{text}\n".encode())
                 under = unescape(bpe.decode(ids[np.frombuffer(mask, np.uint8) == 1].tobytes()))
                 state[1].update(under.encode())
                 state[2] += 1
                 state[3] += len(under)
-                state[4] += chars
+                state[4] += sum(map(len, shown)) + extra
             if len(done) >= 4096:
                 yield _digests(done)
                 done.clear()
@@ -185,9 +192,12 @@ def _digests(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def read_back(formatted: DataFrame, path: str = DEFAULT_VOCABULARY) -> DataFrame:
-    """Digests per conversation of what the tokens and the mask of its turns hold."""
+    """Digests per conversation of what the tokens and the mask of its turns hold.
+
+    All numbers, that of rendered characters too, come from the decoded tokens.
+    """
     laid = (
-        formatted.select("conv_id", "position", "ids", "mask", "chars")
+        formatted.select("conv_id", "position", "ids", "mask")
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "position")
     )

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 
-from barloom.llm import chat
+from barloom.llm import chat, queries
 from barloom.llm.bpe import DEFAULT_VOCABULARY, vocabulary
 
 SCHEMA = "conv_id long, turn long, role string, text string, ids string, mask int, position int"
@@ -56,3 +56,37 @@ def test_order_of_turns(spark):
     row = chat.read_back(chat.format_conversations(turns)).first()
     text = "".join(f"{r[2]}\n{r[3]}\n" for r in rows)
     assert row.turns_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_numbers_are_read_from_the_tokens(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "hello", "i", 1, 2), (1, 1, "assistant", "yes", "i", 1, 2)], SCHEMA)
+    formatted = chat.format_conversations(turns).cache()
+    (row,) = chat.read_back(formatted).collect()
+    shown = "<|im_start|>user<|im_sep|>hello<|im_end|>\n<|im_start|>assistant<|im_sep|>yes<|im_end|>\n"
+    assert row.formatted_chars == len(shown)
+    bpe = vocabulary(DEFAULT_VOCABULARY)
+    start, sep, end = (np.array([i], "<u4").tobytes() for i in chat.reserved(bpe))
+    changed = start + bpe.encode("user", False) + sep + bpe.encode("hello you", False) + end
+    rows = [(r.conv_id, r.position, bytes(changed) if r.position == 0 else bytes(r.ids), bytes(r.mask), r.chars) for r in formatted.collect()]
+    other = spark.createDataFrame(
+        [(c, p, i, b"\0" * (len(i) // 4) if p == 0 else m, n) for c, p, i, m, n in rows],
+        "conv_id long, position long, ids binary, mask binary, chars long",
+    )
+    (read,) = chat.read_back(other).collect()
+    assert read.formatted_chars == len(shown) + len(" you") and read.turns_sha256 != row.turns_sha256
+    assert (read.loss_chars, read.loss_sha256) == (row.loss_chars, row.loss_sha256)
+
+
+def test_registered_query_with_its_own_conversation(spark, tmp_path):
+    rows = [(3, 0, "user", "a<|b", "i", 1, 2), (3, 1, "assistant", None, "i", 1, 2), (None, 0, "user", "", "i", 1, 2)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in queries.op8_chat(spark, str(tmp_path)).collect()}
+    said = "<|im_end|><|im_start|>assistant ok"
+    turns = f"user\n{said}\nassistant\n{said}\n"
+    own = got[-1]
+    assert set(got) == {-1, 3, None} and own.n_turns == 2 and own.loss_chars == len(said)
+    assert own.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+    assert own.turns_sha256 == hashlib.sha256(turns.encode()).hexdigest()
+    frame = len("<|im_start|><|im_sep|><|im_end|>\n")
+    assert own.formatted_chars == 2 * (frame + len(chat.escape(said))) + len("user") + len("assistant")
+    assert got[3].formatted_chars == 2 * frame + len("user") + len("assistant") + len(chat.escape("a<|b"))
