@@ -358,6 +358,25 @@ def _ordered(spark: SparkSession, report: DataFrame, order: tuple[str, ...]) ->
     return save_ordered(_rounded(report), scratch_dir(spark, "ordered"), order, files=12)
 
 
+def _null_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports without a date, written by year and served from the external table."""
+    merged = landed(spark, sf_dir, "merged")
+    number = F.substring("Ticker", 2, 12).cast("long")
+    undated = merged.withColumn("Report_Date", F.when(number % 3 != 0, F.col("Report_Date")))
+    enriched = barloom.enrich_fundamentals(undated, landed(spark, sf_dir, "companies"))
+    path = lake.write_partitioned(enriched, scratch_dir(spark, "lake"), ["Year"])
+    served = [
+        barloom.stock_fundamentals(
+            catalog.register_external(
+                spark, f"{_scratch_database(spark)}.f", path, ["Year"], schemas.FUNDAMENTALS_EXTERNAL, typing
+            )
+        ).withColumn("Typing", F.lit(typing))
+        for typing in (catalog.KEYS_AS_STRINGS, catalog.KEYS_TYPED)
+    ]
+    counts = served[0].union(served[1]).groupBy("Typing", "Year").agg(F.count("*").alias("n"))
+    return counts.select("Typing", F.col("Year").cast("double").alias("Year"), "n")
+
+
 def _statements_repeated(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Statements with NULL tickers and dates and with keys that occur several times."""
     changed = []
@@ -586,6 +605,7 @@ def library_queries() -> dict[str, Query]:
             barloom.stored_top_performers(s, _saved_fundamentals(s, d))
         ),
         "row_counts_stored": _stored_counts,
+        "null_years": _null_years,
         "external_registered_twice": _registered_twice,
         "drifting_headers": lambda s, d: read_drifting(
             s, _drifting(s, d), schemas.PRICES, schemas.PRICE_KEYS

@@ -161,6 +161,11 @@ _REJECTED_DELIVERY = """
 union all select 'Rejected price dates', count(*) from prices where Date is not null and Volume % 23 = 0
 """
 
+_NULL_YEARS = """
+select Typing, cast(case when cast(substr(Ticker, 2) as bigint) % 3 <> 0 then Year end as double) as Year, count(*) as n
+from stock_fundamentals cross join (select unnest(['STRINGS', 'AUTO']) as Typing)
+group by all
+"""
 _VERSIONS = """
 select Ticker, Year, Revenue, round(ROE, 6) as ROE, 'before' as Seen from stock_fundamentals where Year < 1996
 union all select Ticker, Year, Revenue, round(ROE, 6), 'after' from stock_fundamentals
@@ -365,6 +370,7 @@ def oracle_sql() -> dict[str, str]:
         "row_counts_stored": _with(
             ("stock_fundamentals", "stock_prices"), _CHECKS.split("union all select 'Unique")[0]
         ),
+        "null_years": _with(("stock_fundamentals",), _NULL_YEARS),
         "external_registered_twice": _select("windows", _WINDOW_COLUMNS),
         "drifting_headers": _with(("prices",), _DRIFTED),
         "drifting_headers_all_columns": _with(
