@@ -1,16 +1,17 @@
-"""Near-duplicate vectors by passes of exhaustively compared buckets.
-
-A pass hashes every vector to the signs of some random projections, and compares all
-vectors of a label that share these signs with each other, in blocks, however many they
-are. A pair at the threshold shares them with a probability that follows from its angle
-alone, so the number of passes that brings it to ``RECALL`` for a number of signs holds
-for any vectors: those with a common mean or in a dense cone too. How many signs are
-taken is measured on the vectors and decides only the cost; none at all, which compares
-every pair of a label once, is one of the choices.
-
-The union needs one path between two near vectors, not every pair. All links are then
-counted exactly inside each component, in blocks. Equal vectors are one row with a count
-throughout.
+"""Near-duplicate vectors by sorted passes and neighbour windows as wide as they must be.
+
+A pass concatenates the signs of random projections to a key and orders the vectors of a
+label by it. Each vector is compared with those before it in a window: the ``WINDOW``
+nearest ones, and beyond them all that share the key's first signs, its run. A pair at the
+threshold shares these signs with a probability that follows from its angle alone, so the
+number of passes that brings it to ``RECALL`` holds for any vectors: those with a common
+mean or in a dense cone too, where fixed windows lose pairs. How many signs make a run is
+measured on the vectors and decides only the cost; with none the run is the whole label.
+A run that is too long for a task is cut into blocks, which are compared two by two.
+
+The union of the passes needs one path between two near vectors, not every pair. All links
+are then counted exactly inside each component, in blocks. Equal vectors are one row with
+a count throughout.
 """
 
 from __future__ import annotations
@@ -27,13 +28,15 @@ from barloom.llm.common import components, discard, groups, map_arrow, materiali
 from barloom.llm.vectors import as_rows, matrix, unit
 
 THRESHOLD = 0.93
-#: Comparisons of a row that cost as much as moving it once more.
+#: Rows before a vector that it is compared with at least, and as many comparisons as
+#: moving a row once more costs.
 WINDOW = 48
 #: Probability that two vectors at the threshold meet in one of the passes.
 RECALL = 0.9995
-#: Signs in a key; passes that one job makes; passes on which the cost is measured; rows
-#: of a block when vectors are compared.
+#: Signs in a key; signs fewer than a run's that rows of one task share; passes that one
+#: job makes; passes on which the cost is measured; rows of a block, and of a run at most.
 BITS = 62
+ZONE = 2
 PASSES_AT_ONCE = 8
 TRIALS = 2
 BLOCK = 1024
@@ -61,16 +64,15 @@ def passes_needed(rows: int, threshold: float, window: int = WINDOW, recall: flo
     return passes_of(max(1.0, math.log2(max(2, rows) / window) + 1), threshold, recall)
 
 
-def _keys_of(batch: pa.RecordBatch, k: int, dim: int, signs: int) -> np.ndarray:
-    """The first ``signs`` signs of pass ``k`` as whole numbers."""
-    if not signs:
-        return np.zeros(batch.num_rows, np.int64)
-    planes = np.random.default_rng((SEED, k, dim)).normal(size=(dim, BITS))[:, :signs]
-    return ((unit(matrix(batch.column(3))) @ planes) > 0).astype(np.int64) @ (1 << np.arange(signs - 1, -1, -1, dtype=np.int64))
+def _keys_of(batch: pa.RecordBatch, k: int, dim: int) -> np.ndarray:
+    """The signs of pass ``k``, the first one highest, as whole numbers."""
+    planes = np.random.default_rng((SEED, k, dim)).normal(size=(dim, BITS))
+    signs = (unit(matrix(batch.column(3))) @ planes) > 0
+    return signs.astype(np.int64) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
 
 
 def _key_task(first: int, last: int, signs: int, whole: bool):
-    """Keys of some passes, with the vectors if ``whole``."""
+    """Runs of some passes; if ``whole`` with the place in the order, and the vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,10 +80,12 @@ def _key_task(first: int, last: int, signs: int, whole: bool):
             for dim in np.unique(dims).tolist():
                 rows = batch.filter(pa.array(dims == dim))
                 for k in range(first, last):
-                    columns = [pa.array(np.full(rows.num_rows, k)), rows.column(1), rows.column(2), pa.array(_keys_of(rows, k, dim, signs))]
+                    key = _keys_of(rows, k, dim)
+                    columns = [pa.array(np.full(rows.num_rows, k)), rows.column(1), rows.column(2), pa.array(key >> (BITS - signs))]
                     names = ["pass", "label", "dim", "sign"]
                     if whole:
-                        columns, names = [*columns, rows.column(0), rows.column(3)], [*names, "uid", "vec"]
+                        columns += [pa.array(key), rows.column(0), rows.column(3)]
+                        names += ["place", "uid", "vec"]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -94,7 +98,7 @@ _KEYED = "pass long, label long, dim int, sign long"
 def signs_wanted(plain: DataFrame, threshold: float, window: int = WINDOW) -> int:
     """Number of signs with which the passes are cheapest, by the sizes of buckets.
 
-    A row costs, in each pass, as many comparisons as its bucket holds, and ``window`` for
+    A row costs, in each pass, as many comparisons as its run holds, and ``window`` for
     each block that it is sent to.
     """
     largest = plain.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
@@ -151,22 +155,78 @@ def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([a for a, _ in ends]), np.concatenate([b for _, b in ends])
 
 
-def _met(plain: DataFrame, first: int, last: int, signs: int, threshold: float) -> DataFrame:
-    """Links (a, b) that connect what is near in the buckets of some passes."""
-    keys = map_arrow(plain, _key_task(first, last, signs, False), _KEYED)
-    large = keys.groupBy(*_BUCKET).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
-    large = materialize(large, "buckets")
-    keyed = map_arrow(plain, _key_task(first, last, signs, True), f"{_KEYED}, uid long, vec array<double>")
-    dealt = (
-        keyed.join(large, _BUCKET, "left")
-        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        .withColumn("own", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(*_BUCKET, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "uid", "vec")
-    )
-    order = [*_BUCKET, "i", "j"]
-    together = dealt.repartition(*order).sortWithinPartitions(*order)
-    found = materialize(map_arrow(together, _meet_task(threshold), "a long, b long"), "near")
+def _window_task(threshold: float, window: int):
+    """A spanning forest of the links that the windows of a sorted order meet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _ordered(batches, window):
+            signs, uids = table.column(3).to_numpy(), table.column(5).to_numpy()
+            vectors = unit(matrix(table.column(6)))
+            # Rows before ``at`` have been compared with each other.
+            start = at = 0
+            while at < len(uids):
+                end = min(at + BLOCK, len(uids))
+                here, sign = vectors[start:end], signs[start:end]
+                place = np.arange(end - start)
+                near = here @ here.T >= threshold
+                near &= (np.abs(place[:, None] - place) <= window) | (sign[:, None] == sign)
+                a, b = _forest(near)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(uids[start + a]), pa.array(uids[start + b])], names=["a", "b"])
+                at = end
+                start = max(0, min(end - window, int(np.searchsorted(signs, signs[end - 1]))))
+
+    return run
+
+
+def _ordered(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Table]:
+    """Stretches of one pass, label and length of a sorted stream, a few batches long.
+
+    A stretch begins with the end of the one before: its last run, which is ``BLOCK`` rows
+    at most, and no less than ``window`` rows.
+    """
+    held, new = None, 0
+    for batch in batches:
+        for part in groups([batch], 3):
+            same = held is not None and all(held.column(c)[0] == part.column(c)[0] for c in range(3))
+            if not same and held is not None:
+                if new:
+                    yield held
+                held, new = None, 0
+            held = part if held is None else pa.concat_tables([held, part])
+            new += part.num_rows
+            if new >= BLOCK:
+                yield held
+                signs = held.column(3).to_numpy()
+                kept = max(0, min(len(signs) - window, int(np.searchsorted(signs, signs[-1]))))
+                held, new = held.slice(kept), 0
+    if new:
+        yield held
+
+
+def _met(plain: DataFrame, first: int, last: int, signs: int, threshold: float, window: int = WINDOW) -> DataFrame:
+    """Links (a, b) that connect what is near in the windows of some passes."""
+    runs = map_arrow(plain, _key_task(first, last, signs, False), _KEYED)
+    large = runs.groupBy(*_BUCKET).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    large = materialize(large, "runs")
+    keyed = map_arrow(plain, _key_task(first, last, signs, True), f"{_KEYED}, place long, uid long, vec array<double>")
+    marked = keyed.join(large, _BUCKET, "left")
+    # Neighbouring runs go to one task, so that windows reach over their ends.
+    order = ["pass", "label", "dim"]
+    zoned = marked.where("blocks is null").withColumn("zone", F.expr(f"shiftright(sign, {ZONE})"))
+    sorted_ = zoned.repartition(*order, "zone").sortWithinPartitions(*order, "place")
+    found = map_arrow(sorted_.drop("blocks", "zone"), _window_task(threshold, window), "a long, b long")
+    if not large.isEmpty():
+        dealt = (
+            marked.where("blocks is not null")
+            .withColumn("own", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(*_BUCKET, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "uid", "vec")
+        )
+        blocks = [*_BUCKET, "i", "j"]
+        together = dealt.repartition(*blocks).sortWithinPartitions(*blocks)
+        found = found.union(map_arrow(together, _meet_task(threshold), "a long, b long"))
+    found = materialize(found, "near")
     discard(large)
     return found
 
@@ -220,7 +280,7 @@ def near_duplicates(
     signs = signs_wanted(plain, threshold, window)
     needed = passes_of(signs, threshold)
     for first in range(0, needed, PASSES_AT_ONCE):
-        found = _met(plain, first, min(needed, first + PASSES_AT_ONCE), signs, threshold)
+        found = _met(plain, first, min(needed, first + PASSES_AT_ONCE), signs, threshold, window)
         edges = found if edges is None else edges.union(found)
     linked = components(edges)
     members = plain.join(linked.withColumnRenamed("node", "uid"), "uid")

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -215,3 +216,40 @@ def test_the_sample_is_drawn_by_a_hash(spark, monkeypatch):
     neighbours.nearest(_plain(spark, rows), F.col("vec_id") == 0).collect()
     ((drawn, counted),) = seen
     assert counted == 3000 and drawn < 400
+
+
+def _sorted_stream(signs, points, size):
+    """Batches of a sorted pass: (pass, label, dim, sign, place, uid, vec)."""
+    n = len(points)
+    columns = [np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, points.shape[1], np.int32), signs, np.arange(n), np.arange(n)]
+    table = pa.table([*map(pa.array, columns), pa.array(points.tolist())], names=list("plds") + ["place", "uid", "vec"])
+    return table.to_batches(max_chunksize=size)
+
+
+@pytest.mark.parametrize("size", [7, 500, 5_000])
+def test_windows_widen_to_a_dense_run_and_reach_over_its_ends(size):
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(3_000, 32))
+    # The ends of a run of 900 rows, and two neighbours on both sides of a run's end.
+    points[1_999] = points[1_100]
+    points[2_010] = points[1_990]
+    points[100] = points[60]
+    signs = np.repeat([0, 3, 9], [1_100, 900, 1_000]).astype(np.int64)
+    task = near_vectors._window_task(0.93, 48)
+    links = {frozenset(x) for b in task(iter(_sorted_stream(signs, points, size))) for x in zip(*(c.to_pylist() for c in b.columns))}
+    assert links == {frozenset((1_100, 1_999)), frozenset((1_990, 2_010)), frozenset((60, 100))}
+
+
+def test_fixed_windows_would_miss_what_measured_ones_find(spark):
+    """A label with a common mean, where a pair stands hundreds of rows apart in every pass."""
+    rng = np.random.default_rng(12)
+    mean = 4 * rng.normal(size=32)
+    points = mean + rng.normal(size=(2_500, 32))
+    twins = points[:40] + 0.02 * rng.normal(size=(40, 32))
+    rows = [(i, p.tolist(), 1) for i, p in enumerate(np.concatenate((points, twins)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long").repartition(4)
+    found = {r.vec_id: r.component_id for r in near_vectors.near_duplicates(df, threshold=0.9995).collect()}
+    everything = np.array([r[1] for r in rows])
+    near = np.array([cosines(v, everything) for v in everything]) >= 0.9995
+    for i in range(40):
+        assert near[i, 2_500 + i] and found[i] == found[2_500 + i]
