@@ -621,7 +621,7 @@ def library_queries() -> dict[str, Query]:
             s, _ordered(s, _annual(s, d), barloom.plans.reports.ANNUAL_ORDER), low=1998
         ),
         "merge_statements_saved": _merge_saved,
-        "merge_statements_saved_split": lambda s, d: _merge_saved(s, d, hot_rows=1),
+        "merge_statements_saved_split": lambda s, d: _merge_saved(s, d, hot_rows=2),
         "annual_several_reports": _several_reports,
         "company_lookup_partial": _some_companies,
         "quality_rejects": _quality_rejects,
