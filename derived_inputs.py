@@ -6,9 +6,13 @@ tables over all rows and lands them as Parquet, once per application and scale.
 
 from __future__ import annotations
 
+import math
 import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom import merge_statements
 from barloom.sinks import scratch_dir
@@ -81,6 +85,28 @@ from {customer}
 }
 _TABLES = ("orders", "lineitem", "part", "customer")
 
+# Rows and compressed bytes that a task of a landing is to get.
+_TASK_ROWS = 250_000
+_TASK_BYTES = "16m"
+# The rows that a derivation groups, by a key with about as many groups as rows, with just
+# what its SQL makes of them. They are dealt out by the key as they are: partial sums would
+# be about as many and several times as wide.
+_JOINED = "{lineitem} join {orders} on l_orderkey = o_orderkey"
+_ORDERS = (
+    "o_custkey",
+    "o_orderstatus",
+    "cast(o_totalprice as decimal(18,2)) as o_totalprice",
+    "trunc(o_orderdate, 'year') as o_orderdate",
+)
+_LINES = (
+    "l_orderkey",
+    "l_returnflag",
+    "l_linestatus",
+    "cast(l_extendedprice as decimal(18,2)) as l_extendedprice",
+    "trunc(l_shipdate, 'year') as l_shipdate",
+)
+_BARS = ("l_partkey", "l_quantity", "l_extendedprice", "cast(l_shipdate as date) as l_shipdate")
+
 _landed: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 _lock = threading.RLock()
 
@@ -93,8 +119,22 @@ def oracle_input(name: str) -> str:
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The derivation of ``name`` as a lazy DataFrame over the given tables."""
     sql = INPUT_SQL[name]
-    used = [t for t in _TABLES if "{" + t + "}" in sql]
-    return spark.sql(sql, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    tables = _given(spark, sf_dir, name)
+    if name in ("income", "cashflow"):
+        tables["orders"] = tables["orders"].selectExpr(*_ORDERS).repartition("o_custkey")
+    elif name == "part_prices":
+        tables["lineitem"] = tables["lineitem"].selectExpr(*_BARS).repartition("l_partkey")
+    elif name == "balance":
+        sql = sql.replace(_JOINED, "{joined}")
+        customers = tables["orders"].select("o_orderkey", "o_custkey")
+        joined = tables["lineitem"].selectExpr(*_LINES).join(customers, F.expr("l_orderkey = o_orderkey"))
+        tables = {"joined": joined.drop("l_orderkey", "o_orderkey").repartition("o_custkey")}
+    return spark.sql(sql, **tables)
+
+
+def _given(spark: SparkSession, sf_dir: str, name: str) -> dict[str, DataFrame]:
+    used = [t for t in _TABLES if "{" + t + "}" in INPUT_SQL[name]]
+    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,7 +143,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, str(sf_dir), name)
         if key not in _landed or not _exists(spark, _landed[key][0]):
             path = scratch_dir(spark, f"raw-{name}")
-            _land(spark, sf_dir, name).write.parquet(path)
+            with _sized(spark, _rows(spark, sf_dir, name)):
+                _land(spark, sf_dir, name).write.parquet(path)
             _landed[key] = (path, spark.read.parquet(path))
         return _landed[key][1]
 
@@ -111,7 +152,37 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name != "merged":
         return derive(spark, sf_dir, name)
-    return merge_statements(*[landed(spark, sf_dir, t) for t in ("income", "balance", "cashflow")])
+    return merge_statements(*_statements(spark, sf_dir))
+
+
+def _statements(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [landed(spark, sf_dir, t) for t in ("income", "balance", "cashflow")]
+
+
+def _rows(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """The rows that ``name`` is made of, counted in the footers of their files."""
+    tables = _statements(spark, sf_dir) if name == "merged" else _given(spark, sf_dir, name).values()
+    return sum(df.count() for df in tables)
+
+
+@contextmanager
+def _sized(spark: SparkSession, rows: int) -> Iterator[None]:
+    """As many shuffle partitions as ``rows`` call for, whatever number the session has.
+
+    With a fixed number the memory of a task would grow with the tables, up to spilling.
+    """
+    wanted = {
+        "spark.sql.shuffle.partitions": lambda now: max(int(now), math.ceil(rows / _TASK_ROWS)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": lambda now: _TASK_BYTES,
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value(before[key]))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
