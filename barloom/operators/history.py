@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from barloom.operators.skew import HOT_ROWS, PARTS, hot_keys, mark_hot
+from barloom.operators.skew import HOT_ROWS, PARTS, hot_keys_and_rows, mark_hot, spread
 from barloom.scratch import scratch_dir
 
 _BLOCK = "_block"
@@ -32,16 +32,17 @@ def over_history(
     new columns. ``reads`` names every column that they read. ``(key, order)`` should
     be unique; ties are ordered by ``reads``.
 
-    The rows are shuffled once, by ``key``. Only keys that are too big for a task,
+    The rows are shuffled once, by ``key``, to tasks of about equal size however many rows
+    there are. Only keys that are too big for a task,
     which are looked for first, take another way: :func:`_over_blocks`.
     """
-    hot = hot_keys({"": df}, [key], hot_rows)
+    hot, rows = hot_keys_and_rows({"": df}, [key], hot_rows)
     reads = list(reads)
     window = Window.partitionBy(key).orderBy(order, *reads)
     if hot is None:
-        return df.withColumns(measures(window))
+        return spread(df, rows, [key]).withColumns(measures(window))
     big = hot.select(key)
-    others = mark_hot(df, big, [key], "left_anti").withColumns(measures(window))
+    others = spread(mark_hot(df, big, [key], "left_anti"), rows, [key]).withColumns(measures(window))
     histories = mark_hot(df, big, [key], "left_semi")
     blocks = sum(row[PARTS] for row in hot.collect())
     return others.unionByName(

@@ -10,6 +10,7 @@ Which keys are found only changes how work is spread, never a result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -19,6 +20,8 @@ from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
 MOST_KEYS = 10_000
+# Rows that a task sorts: with a fixed number of tasks their memory would grow with the table.
+TASK_ROWS = 250_000
 # Sketches: keys are dealt to classes by hash, and each class tracks so many of its keys.
 _CLASSES = 64
 _TRACKED = 4_096
@@ -43,8 +46,18 @@ def hot_keys(
     task's share of such a table. Exact counts are made of the listed keys only. What is
     collected are at most 65,536 candidates and ``MOST_KEYS`` keys per table.
     """
+    return hot_keys_and_rows(tables, keys, hot_rows)[0]
+
+
+def hot_keys_and_rows(
+    tables: Mapping[str, DataFrame], keys: Sequence[str], hot_rows: int | None = HOT_ROWS
+) -> tuple[DataFrame | None, int]:
+    """:func:`hot_keys`, and the rows of all tables, which the same job counts.
+
+    Without the job, 0.
+    """
     if hot_rows is None:
-        return None
+        return None, 0
     keys = list(keys)
     slim = reduce(
         DataFrame.unionByName,
@@ -53,9 +66,12 @@ def hot_keys(
             for name, df in tables.items()
         ],
     )
-    big = _candidates(slim).where(F.col("_n") > hot_rows).select(TABLE, "_hash").collect()
+    frequent = F.col("_n") > hot_rows
+    found = _candidates(slim).where(frequent | (F.col("_at") == 0)).select("*", frequent.alias("_frequent")).collect()
+    total = sum(row["_rows"] for row in found if row["_at"] == 0)
+    big = [row for row in found if row["_frequent"]]
     if not big:
-        return None
+        return None, total
     spark = slim.sparkSession
     listed = spark.createDataFrame([(row[TABLE], row["_hash"]) for row in big], f"{TABLE} string, _hash long")
     counted = _counted(slim.join(F.broadcast(listed), [TABLE, "_hash"]), [TABLE, *keys])
@@ -65,7 +81,16 @@ def hot_keys(
     rows = []
     for name in tables:
         rows += hot.where(F.col(TABLE) == name).orderBy(F.desc(PARTS)).limit(MOST_KEYS).collect()
-    return spark.createDataFrame(rows, _nullable(hot.schema)) if rows else None
+    return (spark.createDataFrame(rows, _nullable(hot.schema)) if rows else None), total
+
+
+def spread(df: DataFrame, rows: int, keys: Sequence[str]) -> DataFrame:
+    """``df``, whose size is about ``rows``, dealt out by ``keys`` to tasks of ``TASK_ROWS`` rows.
+
+    Where the cores at hand are as many as those tasks, Spark's own number will do.
+    """
+    tasks = math.ceil(rows / TASK_ROWS)
+    return df.repartition(tasks, *keys) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
 
 
 def mark_hot(
@@ -79,12 +104,17 @@ def mark_hot(
 
 
 def _candidates(slim: DataFrame) -> DataFrame:
-    """``(_table, _hash, _n)`` of frequent keys; ``_n`` is never less than the true count."""
+    """``(_table, _hash, _n)`` of frequent keys; ``_n`` is never less than the true count.
+
+    ``_at`` is the place of a key in the list of its class, from 0, and ``_rows`` the number
+    of rows of the class. A class whose keys are all rare has one row, without a key.
+    """
     number = F.pmod("_hash", F.lit(_CLASSES)).cast("int").alias("_class")
     sketch = F.expr(f"approx_top_k(_hash, {_REPORTED}, {_TRACKED})").alias("_top")
-    tops = slim.select(TABLE, number, "_hash").groupBy(TABLE, "_class").agg(sketch)
-    found = tops.select(TABLE, F.explode("_top").alias("_t"))
-    return found.select(TABLE, F.col("_t.item").alias("_hash"), F.col("_t.count").alias("_n"))
+    tops = slim.select(TABLE, number, "_hash").groupBy(TABLE, "_class").agg(sketch, F.count("*").alias("_rows"))
+    found = tops.select(TABLE, "_rows", F.posexplode_outer("_top").alias("_at", "_t"))
+    at = F.coalesce("_at", F.lit(0)).alias("_at")
+    return found.select(TABLE, F.col("_t.item").alias("_hash"), F.col("_t.count").alias("_n"), at, "_rows")
 
 
 def _counted(df: DataFrame, keys: list[str]) -> DataFrame:

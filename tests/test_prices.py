@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import barloom
 from barloom import schemas
+from barloom.operators import skew
 from barloom.operators.history import over_history
 from tests.helpers import plan, rows, same
 
@@ -195,3 +196,34 @@ def test_properties(spark, closes):
 def test_average_needs_a_row(spark):
     with pytest.raises(ValueError):
         barloom.moving_average(_series(spark, [1.0]), n=0)
+
+
+def test_windows_have_tasks_by_the_number_of_rows(spark, monkeypatch, tmp_path):
+    """Else a task sorts a share of the table that grows with it, up to spilling."""
+    path = str(tmp_path / "prices")
+    _random_prices(spark).selectExpr("*", "1L as Volume").write.parquet(path)
+    df = spark.read.parquet(path)
+    few = barloom.enrich_prices(df)
+    assert "REPARTITION_BY_NUM" not in plan(few)
+    monkeypatch.setattr(skew, "TASK_ROWS", 7)
+    tasks = -(-df.count() // 7)
+    many = barloom.enrich_prices(df)
+    text = plan(many)
+    assert "Exchange hashpartitioning(Ticker" in text and f", {tasks}), REPARTITION_BY_NUM" in text
+    assert text.count("Exchange") == 1 and rows(many) == rows(few)
+    split = plan(barloom.enrich_prices(df, hot_rows=50))
+    assert f", {tasks}), REPARTITION_BY_NUM" in split
+
+
+@pytest.mark.parametrize("empty", ["where 1 = 0", "where Close > 5 and Close < 1"])
+def test_windows_over_no_rows(spark, empty):
+    _random_prices(spark).createOrReplaceTempView("some_prices")
+    assert barloom.moving_average(spark.sql(f"select * from some_prices {empty}")).count() == 0
+    assert skew.hot_keys_and_rows({"": spark.sql(f"select * from some_prices {empty}")}, ["Ticker"]) == (None, 0)
+
+
+def test_rows_are_counted_where_no_key_is_frequent(spark):
+    """Classes of many rare keys list none; their rows count all the same."""
+    rare = spark.range(1_200_000).select(F.col("id").cast("string").alias("k"))
+    assert skew.hot_keys_and_rows({"": rare}, ["k"]) == (None, 1_200_000)
+    assert skew.hot_keys_and_rows({"": rare.union(rare.limit(5)), "b": rare.limit(7)}, ["k"]) == (None, 1_200_012)
