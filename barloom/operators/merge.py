@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.headers import check_unique
-from barloom.operators.skew import HOT_ROWS, PARTS, TABLE, hot_keys, mark_hot
+from barloom.operators.skew import HOT_ROWS, PARTS, TABLE, hot_keys_and_rows, mark_hot, spread
 
 _MAX_CELLS = 8192
 # Measured: below this many columns the chain of joins is faster.
@@ -60,12 +60,12 @@ def outer_merge(
     if unique_keys:
         merged = _merge_unique(tables, keys)
     else:
-        hot = hot_keys(tables, keys, hot_rows)
+        hot, size = hot_keys_and_rows(tables, keys, hot_rows)
         if hot is not None:
             few = hot.select(*keys).distinct()
             parts.append(_merge_hot(tables, keys, hot))
             tables = {n: mark_hot(df, few, keys, "left_anti") for n, df in tables.items()}
-        merged = _merge(tables, keys)
+        merged = _merge(tables, keys, size)
     return _stack([merged, *parts]).select(*columns)
 
 
@@ -82,19 +82,24 @@ def _merge_unique(tables: Mapping[str, DataFrame], keys: list[str]) -> DataFrame
     return merged.where(broken.cast("string").isNull()).drop(*names.values())
 
 
-def _merge(tables: Mapping[str, DataFrame], keys: list[str]) -> DataFrame:
+def _merge(tables: Mapping[str, DataFrame], keys: list[str], size: int) -> DataFrame:
     """Full outer joins one after the other, or left joins from the list of all keys.
 
     A chain of full outer joins shuffles and sorts its growing intermediate result
     again at every further step. The list of keys keeps its partitioning and order
     through all left joins, so each table moves once, at the price of moving the keys
     too: that pays once the intermediate rows are wide.
+
+    Where ``size``, the rows of all tables, is too much for the session's number of shuffle
+    partitions, the rows are dealt out beforehand, to as many tasks as they call for.
     """
     keyed = [_with_key(df, keys) for df in tables.values()]
-    rows = [df.drop(*keys) for df in keyed]
+    # A side that lies in fewer partitions than the session has would be shuffled again.
+    enough = int(keyed[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = [spread(df.drop(*keys), size, _KEY, enough) for df in keyed]
     carried = sum(len(_measures(df, keys)) for df in list(tables.values())[:-1])
     if len(rows) > 2 and carried >= _WIDE:
-        spine = _stack([df.select(*_KEY) for df in keyed]).distinct()
+        spine = spread(_stack([df.select(*_KEY) for df in keyed]), size, _KEY, enough).distinct()
         merged = reduce(lambda a, b: a.join(b, _KEY, "left"), rows, spine)
     else:
         merged = reduce(lambda a, b: a.join(b, _KEY, "full_outer"), rows)

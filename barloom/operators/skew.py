@@ -84,13 +84,16 @@ def hot_keys_and_rows(
     return (spark.createDataFrame(rows, _nullable(hot.schema)) if rows else None), total
 
 
-def spread(df: DataFrame, rows: int, keys: Sequence[str]) -> DataFrame:
+def spread(df: DataFrame, rows: int, keys: Sequence[str], enough: int | None = None) -> DataFrame:
     """``df``, whose size is about ``rows``, dealt out by ``keys`` to tasks of ``TASK_ROWS`` rows.
 
-    Where the cores at hand are as many as those tasks, Spark's own number will do.
+    Where those tasks are no more than ``enough``, which is the cores at hand unless given,
+    Spark's own number will do.
     """
     tasks = math.ceil(rows / TASK_ROWS)
-    return df.repartition(tasks, *keys) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+    if enough is None:
+        enough = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks, *keys) if tasks > enough else df
 
 
 def mark_hot(

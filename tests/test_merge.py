@@ -1,12 +1,13 @@
 import datetime as dt
 import random
+import re
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import barloom
-from barloom.operators import hot_keys, outer_merge
+from barloom.operators import hot_keys, outer_merge, skew
 from tests.helpers import plan, rows
 
 KEYS = ["Ticker", "Report_Date"]
@@ -253,3 +254,24 @@ def test_candidates_are_bounded_whatever_the_number_of_keys(spark):
     assert listed.count() <= skew._CLASSES * skew._REPORTED
     hashed = spark.range(1).select(F.xxhash64(F.lit("A"))).first()[0]
     assert listed.where(F.col("_hash") == hashed).first()._n >= 5_000
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_a_merge_has_tasks_by_the_number_of_rows(spark, monkeypatch, tmp_path, wide):
+    """Else a task sorts a share of the tables that grows with them, whatever it is."""
+    tables = {}
+    for name, df in _random_tables(spark, 3).items():
+        more = {f"{name}{i}": F.col(f"v_{name}") + i for i in range(20 if wide else 0)}
+        df.withColumns(more).write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    few = outer_merge(tables, KEYS)
+    assert "REPARTITION_BY_NUM" not in plan(few)
+    monkeypatch.setattr(skew, "TASK_ROWS", 20)
+    many = outer_merge(tables, KEYS)
+    text = plan(many)
+    # 360 rows; each table is moved once, and so is the list of keys or the intermediate rows.
+    assert set(re.findall(r"hashpartitioning\(.*?, (\d+)\)", text)) == {"18"}
+    assert text.count("Exchange hashpartitioning") == 4
+    assert _sorted(many) == _sorted(few)
+    split = outer_merge(tables, KEYS, hot_rows=15)
+    assert ", 18), REPARTITION_BY_NUM" in plan(split) and _sorted(split) == _sorted(few)
