@@ -19,6 +19,7 @@ from barloom.plans.prices import SMA_ROWS, enrich_prices, stock_prices
 from barloom.plans.quality import quality_summary
 from barloom.plans.statements import merge_statements
 from barloom.scratch import path_exists, scratch_dir
+from barloom.session import sized
 from barloom.sinks import catalog, lake as lake_sink
 from barloom.sinks.versions import replace_table
 from barloom.sources import files
@@ -107,7 +108,10 @@ def run_transform(
         # Text, as the external table declares it: what is no date stays visible.
         enriched = enrich_prices(raw, n).withColumn("Date", F.col("Date").cast("string"))
     path = lake_sink.transformed_path(lake, mode)
-    return lake_sink.write_partitioned(enriched, path, PARTITION_KEYS[mode], overwrite)
+    # The join of the company names and the directories move all rows; footers count them.
+    moved = [raw, companies] if mode == FUNDAMENTALS and companies is not None else [raw]
+    with sized(spark, sum(df.count() for df in moved)):
+        return lake_sink.write_partitioned(enriched, path, PARTITION_KEYS[mode], overwrite)
 
 
 def load(

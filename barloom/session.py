@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
+from barloom.operators import skew
+
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -23,3 +31,19 @@ def get_session(app: str = "barloom", **settings: str) -> SparkSession:
     for name, value in settings.items():
         spark.conf.set(name, value)
     return spark
+
+
+@contextmanager
+def sized(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For a write of about ``rows``: as many shuffle partitions as they call for, or more.
+
+    With the session's number the memory of a task would grow with the table. Unlike rows
+    that are dealt out to a given number of tasks, these partitions can still be split or
+    combined by adaptive execution.
+    """
+    before = spark.conf.get(_PARTITIONS)
+    spark.conf.set(_PARTITIONS, max(int(before), math.ceil(rows / skew.TASK_ROWS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_PARTITIONS, before)

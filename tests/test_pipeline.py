@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import re
 import subprocess
 import sys
 
@@ -7,6 +8,7 @@ import pytest
 
 import barloom
 from barloom import schemas
+from barloom.operators import skew
 from barloom.plans import pipeline
 from barloom.sinks import lake
 from tests.helpers import plan, rows
@@ -119,3 +121,36 @@ def test_command_line(spark, tmp_path):
         ("A", "Alpha", 10.0, 2023)
     ]
     assert spark.read.parquet(str(tmp_path / "db" / "stock_prices")).count() == 2
+
+
+def test_a_transform_has_tasks_by_the_number_of_rows(spark, monkeypatch, tmp_path):
+    """Else the tasks that join company names sort a share that grows with the table."""
+    root = str(tmp_path)
+    raw = spark.range(100).selectExpr("concat('T', id) as Ticker", "date'2023-12-31' as Report_Date", "1.0D as Revenue")
+    measures = [f.name for f in schemas.INCOME.fields + schemas.BALANCE.fields + schemas.CASHFLOW.fields]
+    lacking = {c: "cast(null as double)" for c in measures if c not in raw.columns}
+    raw = raw.selectExpr("*", *[f"{e} as {c}" for c, e in lacking.items()])
+    companies = raw.selectExpr("Ticker", "lower(Ticker) as Company_Name").limit(60)
+    lake.write_raw(raw, root, "fundamentals")
+    plans = []
+    write = lake.write_partitioned
+
+    def written(df, *args):
+        plans.append(plan(df))
+        return write(df, *args)
+
+    monkeypatch.setattr(lake, "write_partitioned", written)
+    monkeypatch.setattr(skew, "TASK_ROWS", 10)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        path = pipeline.run_transform(spark, root, "fundamentals", companies)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before["spark.sql.shuffle.partitions"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # 100 rows and 60 names.
+    joined = re.findall(r"hashpartitioning\(Ticker#\d+, (\d+)\), ENSURE_REQUIREMENTS", plans[0])
+    assert len(joined) == 2 and set(joined) == {"16"}
+    back = spark.read.parquet(path)
+    assert back.count() == 100 and back.where("Company_Name = lower(Ticker)").count() == 60
