@@ -174,6 +174,7 @@ def _sized(spark: SparkSession, rows: int) -> Iterator[None]:
     wanted = {
         "spark.sql.shuffle.partitions": lambda now: max(int(now), math.ceil(rows / _TASK_ROWS)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": lambda now: _TASK_BYTES,
+        "spark.sql.files.maxPartitionBytes": lambda now: _TASK_BYTES,
     }
     before = {key: spark.conf.get(key) for key in wanted}
     try:

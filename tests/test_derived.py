@@ -48,3 +48,12 @@ def test_a_landing_has_tasks_by_its_rows(spark, monkeypatch):
             spark.conf.set(k, v)
     # 1,500 orders, 7,500 orders and line items, and about 3,000 statements.
     assert all(n > 2 for n in files.values()) and files["balance"] > 8
+
+
+def test_a_landing_reads_in_small_parts(spark):
+    """A task that deals out all rows of a default part of a well compressed file holds too many."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    with derived_inputs._sized(spark, 1):
+        assert spark.conf.get(key) == "16m"
+    assert spark.conf.get(key) == before != "16m"
